@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,20 @@ BROADCAST_ROWS = 500_000
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in Python workers that were started without it on their path; once a session."""
+    context = spark.sparkContext
+    if not getattr(context, "_corpusmill_shipped", False):
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="corpusmill-")
+        context.addPyFile(shutil.make_archive(f"{folder}/corpusmill", "zip", package.parent, package.name))
+        context._corpusmill_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
     context = spark.sparkContext
