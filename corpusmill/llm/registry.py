@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import budget, encode, mixing, packing, sample
+from corpusmill.llm import budget, encode, mixing, near, overlap, packing, sample
 from corpusmill.runtime import table
 
 
@@ -35,6 +35,22 @@ def p4_fill(spark, d):
     return packing.container_fill(packing.pack_texts(table(spark, d, "wiki_documents"), sizes), sizes)
 
 
+def p5_found(spark, d):
+    return near.near_pages(table(spark, d, "wiki_documents"))
+
+
+def p5_groups(spark, d):
+    return near.duplicate_groups(table(spark, d, "wiki_documents"))
+
+
+def p6_found(spark, d):
+    return overlap.overlapping_pages(table(spark, d, "wiki_documents"))
+
+
+def p6_overlaps(spark, d):
+    return overlap.overlap_report(table(spark, d, "wiki_documents"))
+
+
 def p7_ids(spark, d):
     return encode.encode_texts(table(spark, d, "documents"), "doc_id", "text")
 
@@ -50,14 +66,39 @@ def p8_shares(spark, d):
 
 def queries():
     """All queries of the subpackage by name."""
-    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p4_containers, p4_fill, p7_ids, p8_mix, p8_shares)}
+    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p4_containers, p4_fill, p5_found, p5_groups, p6_found, p6_overlaps, p7_ids, p8_mix, p8_shares)}
 
 
 def oracle_sql():
     """SQL of the queries that SQL can express."""
+    alike = """
+            texts AS (SELECT DISTINCT page_id, text, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS words
+                      FROM wiki_documents WHERE page_id IS NOT NULL AND text IS NOT NULL),
+            classes AS (SELECT text, any_value(words) AS words, row_number() OVER (ORDER BY text) AS c
+                        FROM texts WHERE len(words) >= 20 GROUP BY text),
+            shingles AS (SELECT DISTINCT c, concat_ws(' ', words[i], words[i + 1], words[i + 2]) AS s
+                         FROM (SELECT c, words, unnest(range(1, len(words) - 1)) AS i FROM classes)),
+            sizes AS (SELECT c, count(*) AS n FROM shingles GROUP BY c),
+            common AS (SELECT x.c AS a, y.c AS b, count(*) AS k FROM shingles x JOIN shingles y ON x.s = y.s AND x.c < y.c GROUP BY 1, 2),
+            pairs AS (SELECT a, b FROM common JOIN sizes m ON m.c = a JOIN sizes n ON n.c = b WHERE k >= 0.6 * (m.n + n.n - k)),
+            linked AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs)"""
     chosen = sample.chosen_sql("page_id", sample.DEFAULT_RATE)
     pages = "ids AS (SELECT DISTINCT page_id FROM wiki_documents WHERE page_id IS NOT NULL)"
     return {
+        "p5_found": f"""
+            WITH {alike}
+            SELECT DISTINCT p.page_id AS page_id_a, q.page_id AS page_id_b
+            FROM linked JOIN classes x ON x.c = a JOIN classes y ON y.c = b JOIN texts p ON p.text = x.text JOIN texts q ON q.text = y.text
+            WHERE p.page_id < q.page_id""",
+        "p6_found": f"""
+            WITH {alike},
+            splits AS (SELECT DISTINCT page_id, text, lower(trim(split)) AS split FROM wiki_documents
+                       WHERE page_id IS NOT NULL AND regexp_matches(text, '\\S') AND lower(trim(split)) IN ('train', 'validation', 'test')),
+            alike_texts AS (SELECT x.text AS text_a, y.text AS text_b FROM linked JOIN classes x ON x.c = a JOIN classes y ON y.c = b
+                        UNION SELECT text, text FROM splits)
+            SELECT DISTINCT least(p.page_id, q.page_id) AS page_id_a, greatest(p.page_id, q.page_id) AS page_id_b
+            FROM alike_texts s JOIN splits p ON p.text = s.text_a JOIN splits q ON q.text = s.text_b
+            WHERE p.page_id <> q.page_id AND p.split = 'train' AND q.split <> 'train'""",
         "p1_sample": f"""
             WITH {pages}, chosen AS ({chosen}),
             seen AS (SELECT page_id, min(snapshot_id) AS first_snapshot, count(*) AS deliveries
