@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import budget, encode, mixing, near, overlap, packing, sample
+from corpusmill.llm import budget, encode, garbled, mixing, near, overlap, packing, sample
 from corpusmill.runtime import table
 
 
@@ -64,9 +64,17 @@ def p8_shares(spark, d):
     return mixing.mix_shares(mixing.mix_sources(table(spark, d, "documents"), targets), targets)
 
 
+def p9_found(spark, d):
+    return garbled.garbled_documents(table(spark, d, "documents"))
+
+
+def p9_restored(spark, d):
+    return garbled.mend_texts(table(spark, d, "documents"))
+
+
 def queries():
     """All queries of the subpackage by name."""
-    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p4_containers, p4_fill, p5_found, p5_groups, p6_found, p6_overlaps, p7_ids, p8_mix, p8_shares)}
+    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p4_containers, p4_fill, p5_found, p5_groups, p6_found, p6_overlaps, p7_ids, p8_mix, p8_shares, p9_found, p9_restored)}
 
 
 def oracle_sql():
