@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import budget, encode, garbled, mixing, near, overlap, packing, sample
+from corpusmill.llm import budget, encode, garbled, mixing, near, overlap, packing, quality, sample
 from corpusmill.runtime import table
 
 
@@ -26,6 +26,14 @@ def p2_totals(spark, d):
     return budget.token_totals(_two(spark, d))
 
 
+def p3_found(spark, d):
+    return quality.not_prose(table(spark, d, "wiki_documents"))
+
+
+def p3_statistics(spark, d):
+    return quality.text_statistics(table(spark, d, "wiki_documents"))
+
+
 def p4_containers(spark, d):
     return packing.pack_texts(table(spark, d, "wiki_documents"), table(spark, d, "container_sizes"))
 
@@ -74,7 +82,7 @@ def p9_restored(spark, d):
 
 def queries():
     """All queries of the subpackage by name."""
-    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p4_containers, p4_fill, p5_found, p5_groups, p6_found, p6_overlaps, p7_ids, p8_mix, p8_shares, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p3_found, p3_statistics, p4_containers, p4_fill, p5_found, p5_groups, p6_found, p6_overlaps, p7_ids, p8_mix, p8_shares, p9_found, p9_restored)}
 
 
 def oracle_sql():

@@ -40,24 +40,21 @@ def powers(count: int) -> np.ndarray:
         return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(count - 1, 0), _MULTIPLIER)]))
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in order, and the word offsets of each text.
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts, each followed by a line end, and the place after each text's line end."""
+    codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes, np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
 
-    A null text has no words.  The second array has one entry more than there
-    are texts: words ``offsets[i]:offsets[i + 1]`` belong to text ``i``.
-    """
-    lowered = [(t or "").lower() for t in texts]
-    joined = "\n".join(lowered) + "\n"
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+def words_in(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and 64-bit hash of each word among code points of lower-cased text."""
     inside = _word_table()[codes]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if len(inside) and inside[0]:
         edges = np.concatenate([[0], edges])
     starts, ends = edges[0::2], edges[1::2]
-    bounds = np.cumsum(np.fromiter((len(t) + 1 for t in lowered), np.int64, len(lowered)))
-    offsets = np.concatenate([[0], np.searchsorted(starts, bounds)]).astype(np.int64)
     if not len(starts):
-        return np.zeros(0, np.uint64), offsets
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     lengths = ends - starts
     held = np.flatnonzero(inside)
     first = np.cumsum(lengths) - lengths
@@ -65,7 +62,18 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         terms = (codes[held].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[within]
         sums = np.add.reduceat(terms, first)
-        return mix(sums + lengths.astype(np.uint64) * _SECOND), offsets
+        return starts, lengths, mix(sums + lengths.astype(np.uint64) * _SECOND)
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in order, and the word offsets of each text.
+
+    A null text has no words.  The second array has one entry more than there
+    are texts: words ``offsets[i]:offsets[i + 1]`` belong to text ``i``.
+    """
+    codes, bounds = code_points([(t or "").lower() for t in texts])
+    starts, _, hashes = words_in(codes)
+    return hashes, np.concatenate([[0], np.searchsorted(starts, bounds)]).astype(np.int64)
 
 
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
