@@ -328,12 +328,15 @@ class Mender:
         return found, text
 
     def _suspicious(self, text: str) -> list[str]:
-        """The different words that are not plausible; of words without a letter only those that UTF-8 may have made."""
+        """The different words that are not plausible; of words without a letter only those that UTF-8 may have made.
+
+        A single character proves nothing.
+        """
         cost = self.model.word_cost
         return [
             w
             for w in dict.fromkeys(words_of(text))
-            if not w.isascii() and cost(w) >= SUSPICIOUS * (1 + w.isupper()) and _REPLACED not in w and (any(c.isalpha() for c in w) or any_utf8_run().search(w))
+            if len(w) > 1 and not w.isascii() and cost(w) >= SUSPICIOUS * (1 + w.isupper()) and _REPLACED not in w and (any(c.isalpha() for c in w) or any_utf8_run().search(w))
         ]
 
     def _unquote(self, match: re.Match) -> str:
