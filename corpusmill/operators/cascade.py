@@ -10,6 +10,7 @@ from corpusmill.config import SplitConfig
 from corpusmill.functions import columns as C
 from corpusmill.functions.markup import has_residue
 from corpusmill.functions.wikitext import count_words, plain_text
+from corpusmill.runtime import spread
 from corpusmill.schemas import DOCUMENTS
 
 LEAST_WORDS = 3
@@ -75,7 +76,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     from pyspark.sql import types as T
 
     schema = T.StructType([*kept, T.StructField("revision_timestamp", T.StringType()), T.StructField("text", T.StringType())])
-    return slim.mapInArrow(run, schema)
+    return spread(slim).mapInArrow(run, schema)
 
 
 def text_reason(text: str) -> str | None:

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.runtime import spread
 from corpusmill.schemas import ATTRIBUTION_COLUMNS, DOCUMENTS
 
 #: Pages of a block of the corpus digest.
@@ -37,7 +38,7 @@ def row_digests(documents: DataFrame, columns: tuple[str, ...] = tuple(DOCUMENTS
             digests = pa.array([hashlib.sha256(canonical_row(r)).hexdigest() for r in rows], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("revision_id"), digests], names=["page_id", "revision_id", "row_sha256"])
 
-    return documents.select(names).mapInArrow(run, "page_id bigint, revision_id bigint, row_sha256 string")
+    return spread(documents.select(names)).mapInArrow(run, "page_id bigint, revision_id bigint, row_sha256 string")
 
 
 def corpus_digest(documents: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def composed_text(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string())], names=["page_id", "composed_sha256"])
 
     rows = documents.select("page_id", "text").where("page_id is not null and text is not null")
-    return rows.mapInArrow(run, "page_id bigint, composed_sha256 string").distinct()
+    return spread(rows).mapInArrow(run, "page_id bigint, composed_sha256 string").distinct()
 
 
 def residue_report(texts: DataFrame, kinds: Column, examples: int = 20) -> DataFrame:

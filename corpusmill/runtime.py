@@ -56,3 +56,17 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 def small_side(frame: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """The frame with a broadcast hint if its counted rows are within the limit, else unchanged."""
     return F.broadcast(frame) if rows <= limit else frame
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """The rows of a scan over all cores, if it has at most half as many partitions as there are cores.
+
+    For scans that feed work in Python: a small table may be one file that
+    cannot be split. Tables with enough partitions, and frames that are no
+    plain scans, stay as they are and are not shuffled.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    query = frame._jdf.queryExecution()
+    if query.executedPlan().getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return frame
+    return frame.repartition(cores) if 2 * query.toRdd().getNumPartitions() <= cores else frame
