@@ -13,7 +13,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from corpusmill.runtime import spread
 
 #: Characters of text turned into arrays at once.
 CHUNK_CHARS = 1 << 19
@@ -89,7 +90,7 @@ def slot_loads(rows: DataFrame, key_col: str, text_col: str, slots_of: Callable[
         seen: set[int] = set()
         for batch in batches:
             fresh = first_of(batch.column(0).to_pylist(), seen)
-            column = batch.column(1).take(pa.array(fresh)).to_pylist()
+            column = batch.column(1).take(pa.array(fresh, pa.int64())).to_pylist()
             for a, b in text_chunks(column):
                 got, n, m = slots_of(column[a:b])
                 load += np.bincount(got, minlength=slots)
@@ -119,7 +120,7 @@ def slot_loads(rows: DataFrame, key_col: str, text_col: str, slots_of: Callable[
         )
 
     schema = "piece int, load binary, texts bigint, expected bigint"
-    sums = rows.select(key_col, text_col).mapInArrow(count, schema).groupBy("piece").applyInArrow(add, schema).collect()
+    sums = spread(rows.select(key_col, text_col)).mapInArrow(count, schema).groupBy("piece").applyInArrow(add, schema).collect()
     load = np.zeros(slots, np.int64)
     for row in sums:
         load[row["piece"] * width : (row["piece"] + 1) * width] = np.frombuffer(bytes(row["load"]), np.int64)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from corpusmill.llm.vocab import DEFAULT_TOKENIZER, encoder, vocabulary_file
+from corpusmill.runtime import spread
 
 
 def encode_texts(
@@ -33,7 +34,7 @@ def encode_texts(
 
     kind = frame.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return frame.select(id_col, text_col).mapInArrow(run, schema)
+    return spread(frame.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 def count_tokens(frame: DataFrame, text_col: str, tokenizer: str = DEFAULT_TOKENIZER, folder: str | None = None) -> DataFrame:
@@ -53,4 +54,4 @@ def count_tokens(frame: DataFrame, text_col: str, tokenizer: str = DEFAULT_TOKEN
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[*names, "tokens"])
 
     schema = T.StructType([*kept, T.StructField("tokens", T.LongType())])
-    return frame.select(*names, text_col).mapInArrow(run, schema)
+    return spread(frame.select(*names, text_col)).mapInArrow(run, schema)

@@ -11,11 +11,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm.encodings import CharacterModel, Mender, char_kind
+from corpusmill.runtime import spread
 
 _OTHER_WORDS = re.compile("[Ͱ-ϿЀ-ӿ]+")
 _LATIN_PAIRS = re.compile("(?=([\u00c0-\u024f]{2}))")
 
 
+def count_characters(batches):
+    """The sums of one task's texts, as one batch of ``(kind, mark, documents)``."""
+    sums: Counter = Counter()
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if not text:
+                continue
+            sums["n", "all"] += 1
+            if text.isascii():
+                continue
+            chars = {c for c in set(text) if c > "\x7f"}
+            sums.update(("c", c) for c in chars)
+            if any(c >= "\u2e80" for c in chars) and sum(c >= "\u2e80" for c in text) > 20:
+                sums["n", "J"] += 1
+            sums.update(("p", p) for p in set(_LATIN_PAIRS.findall(text.lower())))
+            if any("Ͱ" <= c <= "ӿ" for c in chars):
+                words = set(_OTHER_WORDS.findall(text.lower()))
+                pairs = {p for w in words for p in map("".join, zip("^" + w, w + "$"))}
+                sums.update(("p", p) for p in pairs)
+                for name, low, high in (("G", "Ͱ", "Ѐ"), ("C", "Ѐ", "Ԁ")):
+                    if sum(low <= w[0] < high for w in words) > 5:
+                        sums["n", name] += 1
+    kinds, marks = [k for k, _ in sums], [m for _, m in sums]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(kinds, pa.string()), pa.array(marks, pa.string()), pa.array(list(sums.values()), pa.int64())], names=["kind", "mark", "documents"]
+    )
+
+
 def character_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """Rows ``(kind, mark, documents)``: in how many documents each character and pair of letters occurs.
 
@@ -27,33 +56,7 @@ def character_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
     characters there are.
     """
 
-    def count(batches):
-        sums: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                sums["n", "all"] += 1
-                if text.isascii():
-                    continue
-                chars = {c for c in set(text) if c > "\x7f"}
-                sums.update(("c", c) for c in chars)
-                if any(c >= "\u2e80" for c in chars) and sum(c >= "\u2e80" for c in text) > 20:
-                    sums["n", "J"] += 1
-                sums.update(("p", p) for p in set(_LATIN_PAIRS.findall(text.lower())))
-                if any("Ͱ" <= c <= "ӿ" for c in chars):
-                    words = set(_OTHER_WORDS.findall(text.lower()))
-                    pairs = {p for w in words for p in map("".join, zip("^" + w, w + "$"))}
-                    sums.update(("p", p) for p in pairs)
-                    for name, low, high in (("G", "Ͱ", "Ѐ"), ("C", "Ѐ", "Ԁ")):
-                        if sum(low <= w[0] < high for w in words) > 5:
-                            sums["n", name] += 1
-        kinds, marks = [k for k, _ in sums], [m for _, m in sums]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kinds, pa.string()), pa.array(marks, pa.string()), pa.array(list(sums.values()), pa.int64())], names=["kind", "mark", "documents"]
-        )
-
-    parts = documents.select(text_col).mapInArrow(count, "kind string, mark string, documents bigint")
+    parts = spread(documents.select(text_col)).mapInArrow(count_characters, "kind string, mark string, documents bigint")
     return parts.groupBy("kind", "mark").agg(F.sum("documents").alias("documents"))
 
 
@@ -99,7 +102,7 @@ def mend_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(places, pa.int64())), pa.array(texts, pa.string())], names=[id_col, "restored"])
 
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("restored", T.StringType())])
-    return documents.select(id_col, text_col).mapInArrow(run, schema)
+    return spread(documents.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 _menders: dict[int, Mender] = {}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import blocks, partenum
 from corpusmill.llm.shingles import shingle_hashes, shingle_sets, word_hashes
-from corpusmill.runtime import checkpointed, small_side
+from corpusmill.runtime import checkpointed, small_side, spread
 
 #: As TESTDATA.md sets them for this corpus: words of a shingle, least likeness, least words of a text.
 WIDTH, THRESHOLD, MIN_WORDS = 3, 0.6, 20
@@ -57,7 +57,7 @@ def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: i
         for batch in batches:
             keys = batch.column(0).to_pylist()
             fresh = blocks.first_of(keys, seen)
-            column = batch.column(1).take(pa.array(fresh)).to_pylist()
+            column = batch.column(1).take(pa.array(fresh, pa.int64())).to_pylist()
             names = np.array([keys[i] for i in fresh], np.int64).view(np.uint64)
             for a, b in blocks.text_chunks(column):
                 hashes, ends, words = shingle_sets(column[a:b], width)
@@ -65,7 +65,7 @@ def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: i
                 found, owner = partenum.signatures(hashes, ends, marks, threshold)
                 yield np.stack([found, names[a:b][kept][owner]], 1)
 
-    sent = texts.select("text_class", "text").mapInArrow(lambda batches: blocks.pack_blocks(records(batches), buckets), "bucket bigint, block binary")
+    sent = spread(texts.select("text_class", "text")).mapInArrow(lambda batches: blocks.pack_blocks(records(batches), buckets), "bucket bigint, block binary")
     return blocks.by_bucket(sent, group_pairs, ["a", "b"], 2).distinct()
 
 

@@ -130,6 +130,15 @@ def test_pair_operators_take_empty_tables(spark, near_rows):
 
 
 def test_hot_copies_are_one_class(spark):
+    # later batches of a task hold nothing but texts seen before
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        _hot_copies(spark)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def _hot_copies(spark):
     r = random.Random(1)
     base = words(r, 60)
     rows = [(i, " ".join(base), "train", "enwiki") for i in range(300)] + [(1000, " ".join([*base[:-1], "end"]), "test", "enwiki")]
