@@ -68,7 +68,7 @@ def split_intersection(documents: DataFrame) -> DataFrame:
     )
 
 
-def order_violations(pages: DataFrame, parts: int | None = None) -> DataFrame:
+def order_violations(pages: DataFrame) -> DataFrame:
     """Rows ``(page_id, copies)``: identifiers that keep the table from rising strictly when sorted.
 
     A sorted table rises strictly iff no identifier occurs twice, so no global

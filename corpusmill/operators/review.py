@@ -67,7 +67,7 @@ def decision_problems(decisions: DataFrame, candidates: DataFrame) -> DataFrame:
     candidates without a decision.  Dates are ``YYYY-MM-DD``.
     """
     known = candidates.select(F.col("page_id").alias("candidate"), F.col("revision_id").alias("wanted")).distinct()
-    joined = decisions.join(F.broadcast(known) if candidates.isStreaming else known, decisions["page_id"] == known["candidate"], "left")
+    joined = decisions.join(known, decisions["page_id"] == known["candidate"], "left")
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
     date = F.when(F.col("reviewed_at").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.to_date(F.try_to_timestamp("reviewed_at", F.lit("yyyy-MM-dd"))))
     checks = {

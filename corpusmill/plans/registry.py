@@ -55,7 +55,8 @@ def repeated_pages(spark, d):
 
 
 def exact_duplicate_groups(spark, d):
-    return duplicates.exact_duplicate_groups(table(spark, d, "wiki_documents"))
+    groups = duplicates.exact_duplicate_groups(table(spark, d, "wiki_documents"))
+    return groups.withColumn("splits", F.array_join("splits", ","))
 
 
 def cross_split_groups(spark, d):
@@ -160,6 +161,19 @@ def segment_pages(spark, d):
     return ranges.select("ordinal", F.posexplode("page_ids").alias("position", "page_id"))
 
 
+def page_positions(spark, d):
+    """The pages of each segment against the index, after every eleventh lost its identifier, every 13th has another and every 17th is gone."""
+    listed = segment_pages(spark, d)
+    page = F.when(F.col("page_id") % 11 != 0, F.when(F.col("page_id") % 13 == 0, F.col("page_id") + 1).otherwise(F.col("page_id")))
+    return ledger.positions_against_index(listed.where("page_id % 17 <> 0").withColumn("page_id", page), listed)
+
+
+def dropped_lines(spark, d):
+    """The ledger of dropped pages as lines of compact JSON with sorted keys."""
+    dropped = cascade.structural_decisions(table(spark, d, "dump_pages")).where("reason is not null")
+    return dropped.select(F.to_json(F.struct("page_id", "reason", "title"), {"ignoreNullFields": "false"}).alias("line"))
+
+
 def index_lines(spark, d):
     """The index written as text lines and parsed again."""
     rows = table(spark, d, "segment_index").where("title is not null")
@@ -258,9 +272,9 @@ def queries():
     found = (
         split_assignment, split_summary, text_fingerprint, article_urls, attribution, attribution_mismatches, split_intersection,
         repeated_pages, exact_duplicate_groups, cross_split_groups, exact_audit, near_sample, simhash, near_pairs, near_audit,
-        review_strata, review_candidates, review_problems, review_labels, review_reviewers, structural_drops, drop_cascade,
+        review_strata, review_candidates, review_problems, review_labels, review_reviewers, structural_drops, dropped_lines, drop_cascade,
         extracted_documents, extraction_reasons, drop_counts, accounting, decision_problems, decisions_against_index,
-        decisions_against_documents, page_decisions, segment_ranges, segment_pages, index_lines, index_problems, range_problems,
+        decisions_against_documents, page_decisions, segment_ranges, segment_pages, page_positions, index_lines, index_problems, range_problems,
         remaining_segments, residual_markup, residue_report, collapsed_text, composed_text, row_digests, corpus_digest,
         token_pack, token_shards, dropped_tails, bigram_loss, latest_revisions, snapshot_arrivals,
     )
@@ -345,7 +359,7 @@ def oracle_sql():
         "split_intersection": f"""SELECT page_id, count(DISTINCT split) AS splits FROM (SELECT page_id, {_TIDY.format('split')} AS split FROM wiki_documents
             UNION ALL SELECT page_id, 'test' FROM wiki_documents WHERE page_id % 3 = 0) WHERE page_id IS NOT NULL GROUP BY page_id HAVING count(DISTINCT split) > 1""",
         "repeated_pages": "SELECT page_id, count(*) AS copies FROM wiki_documents WHERE page_id IS NOT NULL GROUP BY page_id HAVING count(*) > 1",
-        "exact_duplicate_groups": f"WITH {_GROUPS} SELECT * FROM grouped",
+        "exact_duplicate_groups": f"WITH {_GROUPS} SELECT text_sha256, first_page_id, documents, array_to_string(splits, ',') AS splits FROM grouped",
         "cross_split_groups": f"""WITH {_GROUPS} SELECT first_page_id, documents, array_to_string(splits, ',') AS splits, text_sha256 FROM grouped
             WHERE len(splits) > 1 ORDER BY first_page_id, text_sha256 LIMIT 20""",
         "exact_audit": f"""WITH {_GROUPS} SELECT count(*) AS duplicate_groups, count(*) FILTER (len(splits) > 1) AS cross_split_groups,
@@ -385,6 +399,16 @@ def oracle_sql():
             WHEN {page} IS NULL OR {space} IS NULL OR coalesce(title, '') = '' THEN 'invalid_page' WHEN {space} <> 0 THEN 'non_article_namespace'
             WHEN redirect IS NOT NULL THEN 'redirect' WHEN revision IS NULL OR {revision} IS NULL THEN 'invalid_page'
             WHEN regexp_matches(lower(coalesce(revision.text, '')), '^\\s*#redirect') THEN 'redirect' END AS reason FROM dump_pages""",
+        "dropped_lines": f"""SELECT to_json({{'page_id': page_id, 'reason': reason, 'title': title}})::VARCHAR AS line FROM (SELECT {page} AS page_id, title, CASE
+            WHEN {page} IS NULL OR {space} IS NULL OR coalesce(title, '') = '' THEN 'invalid_page' WHEN {space} <> 0 THEN 'non_article_namespace'
+            WHEN redirect IS NOT NULL THEN 'redirect' WHEN revision IS NULL OR {revision} IS NULL THEN 'invalid_page'
+            WHEN regexp_matches(lower(coalesce(revision.text, '')), '^\\s*#redirect') THEN 'redirect' END AS reason FROM dump_pages) WHERE reason IS NOT NULL""",
+        "page_positions": f"""WITH {_SEGMENTS}, listed AS (SELECT ordinal, (row_number() OVER (PARTITION BY byte_offset ORDER BY page_id) - 1)::INT AS position, page_id
+              FROM lines JOIN ranges ON start = byte_offset),
+            seen AS (SELECT ordinal, position, CASE WHEN page_id % 11 <> 0 THEN CASE WHEN page_id % 13 = 0 THEN page_id + 1 ELSE page_id END END AS page_id, true AS found
+              FROM listed WHERE page_id % 17 <> 0)
+            SELECT ordinal, position, s.page_id, l.page_id AS expected_page_id FROM listed l LEFT JOIN seen s USING (ordinal, position)
+            WHERE s.found IS NULL OR s.page_id <> l.page_id""",
         "drop_counts": f"""SELECT reason, coalesce(n, 0) AS pages FROM {reasons} LEFT JOIN (SELECT reason, count(*) AS n FROM
             (SELECT DISTINCT * FROM page_decisions WHERE decision = 'dropped') GROUP BY reason) USING (reason)""",
         "accounting": """SELECT stream_ordinal, count(*) AS pages_seen, count(*) FILTER (decision = 'emitted') AS emitted, count(*) FILTER (decision = 'dropped') AS dropped,
