@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusmill.runtime import spread
 
@@ -22,6 +23,8 @@ CHUNK_CHARS = 1 << 19
 FLUSH_RECORDS = 1 << 20
 #: Records of a bucket that the number of buckets aims at.
 BUCKET_RECORDS = 1 << 20
+#: Members of a key from which its pairs are made by a salted join and not in the task of its bucket, and salts of that join.
+HOT_MEMBERS, HOT_SALTS = 4096, 64
 
 
 def text_chunks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
@@ -75,6 +78,16 @@ def by_bucket(blocks: DataFrame, handle: Callable[[np.ndarray], Iterator[np.ndar
     return blocks.groupBy("bucket").applyInArrow(run, schema)
 
 
+def salted_pairs(left: DataFrame, right: DataFrame, salts: int = HOT_SALTS) -> DataFrame:
+    """The pairs ``(a, b)`` of members of the same hot key, from ``(key, a, ...)`` and ``(key, b)``.
+
+    The right members of a key are dealt to salts and the left ones repeated
+    for each, so that no task holds a whole key.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return left.withColumn("salt", every).join(right.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int")), ["key", "salt"]).drop("key", "salt")
+
+
 def slot_loads(rows: DataFrame, key_col: str, text_col: str, slots_of: Callable[[list[str | None]], tuple[np.ndarray, int, int]], slots: int) -> tuple[np.ndarray, int, int]:
     """Sums over all texts of what ``slots_of`` counts, and the numbers of texts and of records it expects.
 

@@ -8,6 +8,8 @@ shingle sets of the few texts that are in a pair.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,8 +21,8 @@ from corpusmill.runtime import checkpointed, small_side, spread
 
 #: As TESTDATA.md sets them for this corpus: words of a shingle, least likeness, least words of a text.
 WIDTH, THRESHOLD, MIN_WORDS = 3, 0.6, 20
-#: Classes of a group of equal signatures that are paired in one step.
-PAIR_BLOCK = 2048
+#: Pairs of classes made at once.
+PAIR_BLOCK = 1 << 20
 
 
 def keyed_texts(pages: DataFrame, id_col: str = "page_id", text_col: str = "text") -> DataFrame:
@@ -46,8 +48,8 @@ def frequent_shingles(texts: DataFrame, width: int, min_words: int) -> tuple[np.
     return load >= max(2.0, partenum.FREQUENT_SHARE * count), max(1, -(-expected // blocks.BUCKET_RECORDS))
 
 
-def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: int) -> DataFrame:
-    """Rows ``(a, b)``, ``a < b``: classes that share a PartEnum signature."""
+def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: int, hot_members: int = blocks.HOT_MEMBERS) -> DataFrame:
+    """Rows ``(a, b)``, ``a < b``: classes that share a PartEnum signature; held in the shared folder."""
     frequent, buckets = frequent_shingles(texts, width, min_words)
     packed = np.packbits(frequent)
 
@@ -66,7 +68,12 @@ def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: i
                 yield np.stack([found, names[a:b][kept][owner]], 1)
 
     sent = spread(texts.select("text_class", "text")).mapInArrow(lambda batches: blocks.pack_blocks(records(batches), buckets), "bucket bigint, block binary")
-    return blocks.by_bucket(sent, group_pairs, ["a", "b"], 2).distinct()
+    rows = checkpointed(blocks.by_bucket(sent, partial(group_pairs, hot_members=hot_members), ["a", "b", "hot"], 2).distinct())
+    pairs, hot = rows.where("hot = 0").select("a", "b"), rows.where("hot = 1")
+    if hot.isEmpty():
+        return pairs
+    left, right = (hot.select(F.col("a").alias("key"), F.col("b").alias(side)) for side in ("a", "b"))
+    return checkpointed(pairs.union(blocks.salted_pairs(left, right).where("a < b").select("a", "b")).distinct())
 
 
 def long_sets(hashes: np.ndarray, ends: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,28 +83,36 @@ def long_sets(hashes: np.ndarray, ends: np.ndarray, keep: np.ndarray) -> tuple[n
     return hashes[inside], np.concatenate([[0], np.cumsum(sizes[keep])]), np.flatnonzero(keep)
 
 
-def group_pairs(records: np.ndarray):
-    """Pairs of different classes with equal keys, in bounded blocks."""
+def group_pairs(records: np.ndarray, hot_members: int = blocks.HOT_MEMBERS):
+    """Rows ``(a, b, 0)`` of the pairs of different classes with equal keys, in bounded blocks.
+
+    A key with more than ``hot_members`` classes gives rows ``(key, class, 1)``
+    instead, for a join that spreads its pairs over tasks.
+    """
     records = np.unique(records, axis=0)
     keys, names = records[:, 0], records[:, 1].view(np.int64)
     cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
     sizes = np.diff(cuts)
     held = []
-    for size in np.unique(sizes[(sizes > 1) & (sizes <= 64)]):
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= hot_members)]):
         starts = cuts[:-1][sizes == size]
         i, j = np.triu_indices(size, 1)
-        for block in range(0, len(starts), max(1, 4_000_000 // len(i))):
-            some = starts[block : block + max(1, 4_000_000 // len(i))]
-            held.append(np.stack([names[(some[:, None] + i).ravel()], names[(some[:, None] + j).ravel()]], 1))
+        step = max(1, PAIR_BLOCK // len(i))
+        for block in range(0, len(starts), step):
+            some = starts[block : block + step]
+            held.append(_ordered(np.stack([names[(some[:, None] + i).ravel()], names[(some[:, None] + j).ravel()]], 1)))
+            if sum(map(len, held)) >= PAIR_BLOCK:
+                yield _marked(_ordered(np.concatenate(held)), 0)
+                held = []
     if held:
-        yield _ordered(np.concatenate(held))
-    for start, size in zip(cuts[:-1][sizes > 64], sizes[sizes > 64]):
-        group = names[start : start + size]
-        for x in range(0, size, PAIR_BLOCK):
-            for y in range(x, size, PAIR_BLOCK):
-                left, right = group[x : x + PAIR_BLOCK], group[y : y + PAIR_BLOCK]
-                a, b = np.triu_indices(len(left), 1) if x == y else (c.ravel() for c in np.indices((len(left), len(right))))
-                yield _ordered(np.stack([left[a], right[b]], 1))
+        yield _marked(_ordered(np.concatenate(held)), 0)
+    hot = np.repeat(sizes > hot_members, sizes)
+    if hot.any():
+        yield _marked(np.stack([keys[hot].view(np.int64), names[hot]], 1), 1)
+
+
+def _marked(rows: np.ndarray, mark: int) -> np.ndarray:
+    return np.concatenate([rows, np.full((len(rows), 1), mark, np.int64)], 1)
 
 
 def _ordered(pairs: np.ndarray) -> np.ndarray:
@@ -141,17 +156,21 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, width: int, m
     )
 
 
-def similar_classes(texts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
+def similar_classes(
+    texts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS, hot_members: int = blocks.HOT_MEMBERS
+) -> DataFrame:
     """Rows ``(a, b, likeness)``, ``a < b``: all pairs of different texts alike to the threshold, by text class.
 
     Likeness is the Jaccard similarity of the sets of ``width`` consecutive
     words.  Texts of fewer than ``min_words`` words are in no pair.
     """
-    pairs = checkpointed(candidate_pairs(texts, threshold, width, min_words))
+    pairs = candidate_pairs(texts, threshold, width, min_words, hot_members)
     return verified(pairs, texts, threshold, width, min_words)
 
 
-def near_pages(pages: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
+def near_pages(
+    pages: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS, hot_members: int = blocks.HOT_MEMBERS
+) -> DataFrame:
     """Rows ``(page_id_a, page_id_b)``, ``page_id_a < page_id_b``: different pages with similar but different texts.
 
     Each pair once, however often its pages are delivered.  Null, empty and
@@ -160,7 +179,7 @@ def near_pages(pages: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     is with every page of a similar text.
     """
     texts = keyed_texts(pages)
-    pairs = checkpointed(similar_classes(texts, threshold, width, min_words))
+    pairs = checkpointed(similar_classes(texts, threshold, width, min_words, hot_members))
     members = class_members(texts, pairs)
     left, right = (members.select(F.col("text_class").alias(c), F.col("page_id").alias(f"page_{c}")) for c in "ab")
     return (

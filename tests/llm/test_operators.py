@@ -124,6 +124,15 @@ def test_overlaps_of_brute_force(spark, near_rows):
     assert kinds == {"same", "edited", "moved"}
 
 
+def test_hot_keys_are_joined_with_salts(spark, near_rows):
+    pages = wiki(spark, near_rows)
+    found = {tuple(r) for r in near.near_pages(pages, hot_members=2).collect()}
+    assert found == near_pairs_by_hand(near_rows)
+    texts = overlap.split_texts(pages)
+    plain, salted = ({(r["a"], r["b"]) for r in overlap.overlap_classes(texts, hot_members=n).collect()} for n in (10_000, 1))
+    assert plain and plain == salted
+
+
 def test_pair_operators_take_empty_tables(spark, near_rows):
     none = wiki(spark, near_rows).limit(0)
     assert near.near_pages(none).count() == overlap.overlapping_pages(none).count() == near.duplicate_groups(none).count() == overlap.overlap_report(none).count() == 0
