@@ -22,7 +22,7 @@ CHUNK_CHARS = 1 << 19
 #: Records a task gathers before it sends them on.
 FLUSH_RECORDS = 1 << 20
 #: Records of a bucket that the number of buckets aims at.
-BUCKET_RECORDS = 1 << 20
+BUCKET_RECORDS = 1 << 19
 #: Members of a key from which its pairs are made by a salted join and not in the task of its bucket, and salts of that join.
 HOT_MEMBERS, HOT_SALTS = 4096, 64
 
@@ -66,8 +66,12 @@ def pack_blocks(records: Iterator[np.ndarray], buckets: int, shift: int = 0) ->
         yield flush()
 
 
-def by_bucket(blocks: DataFrame, handle: Callable[[np.ndarray], Iterator[np.ndarray]], names: list[str], fields: int) -> DataFrame:
-    """Rows of longs that ``handle`` makes of the records of each bucket."""
+def by_bucket(blocks: DataFrame, buckets: int, handle: Callable[[np.ndarray], Iterator[np.ndarray]], names: list[str], fields: int) -> DataFrame:
+    """Rows of longs that ``handle`` makes of the records of each bucket.
+
+    There are as many partitions as buckets, whatever the session's default, so
+    the data of a task do not grow with the input.
+    """
     schema = ", ".join(f"{n} bigint" for n in names)
 
     def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +79,7 @@ def by_bucket(blocks: DataFrame, handle: Callable[[np.ndarray], Iterator[np.ndar
         for rows in handle(np.concatenate(parts)):
             yield pa.RecordBatch.from_arrays([pa.array(rows[:, i].view(np.int64)) for i in range(len(names))], names=names)
 
-    return blocks.groupBy("bucket").applyInArrow(run, schema)
+    return blocks.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, schema)
 
 
 def salted_pairs(left: DataFrame, right: DataFrame, salts: int = HOT_SALTS) -> DataFrame:

@@ -68,7 +68,7 @@ def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: i
                 yield np.stack([found, names[a:b][kept][owner]], 1)
 
     sent = spread(texts.select("text_class", "text")).mapInArrow(lambda batches: blocks.pack_blocks(records(batches), buckets), "bucket bigint, block binary")
-    rows = checkpointed(blocks.by_bucket(sent, partial(group_pairs, hot_members=hot_members), ["a", "b", "hot"], 2).distinct())
+    rows = checkpointed(blocks.by_bucket(sent, buckets, partial(group_pairs, hot_members=hot_members), ["a", "b", "hot"], 2).distinct())
     pairs, hot = rows.where("hot = 0").select("a", "b"), rows.where("hot = 1")
     if hot.isEmpty():
         return pairs
