@@ -6,9 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: White space of any script, as a character class.
+SPACE = r"\s\p{Z}\x1c-\x1f\x85"
+
+
+def not_blank(column: Column) -> Column:
+    """Whether a text holds anything but white space; never for null."""
+    return F.coalesce(column.rlike(f"[^{SPACE}]"), F.lit(False))
+
+
 def tidy(column: Column) -> Column:
     """Lower-cased and without white space around it; null stays null, blank becomes null."""
-    text = F.lower(F.regexp_replace(column, r"^\s+|\s+$", ""))
+    text = F.lower(F.regexp_replace(column, f"^[{SPACE}]+|[{SPACE}]+$", ""))
     return F.when(text != "", text)
 
 

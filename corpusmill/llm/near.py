@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import blocks, partenum
+from corpusmill.llm.columns import not_blank
 from corpusmill.llm.shingles import shingle_hashes, shingle_sets, word_hashes
 from corpusmill.runtime import checkpointed, small_side, spread
 
@@ -28,7 +29,7 @@ PAIR_BLOCK = 1 << 20
 def keyed_texts(pages: DataFrame, id_col: str = "page_id", text_col: str = "text") -> DataFrame:
     """Rows ``(page_id, text_class, text)`` of all rows with an identifier and a text that is not blank."""
     return pages.select(F.col(id_col).alias("page_id"), F.xxhash64(text_col).alias("text_class"), F.col(text_col).alias("text")).where(
-        F.col("page_id").isNotNull() & F.col("text").rlike(r"\S")
+        F.col("page_id").isNotNull() & not_blank(F.col("text"))
     )
 
 
