@@ -369,13 +369,12 @@ class Mender:
 
     def _mend(self, text: str, way: tuple) -> str:
         """The text with the way applied to every word, or part of a word, that it makes more plausible."""
-        cost = self.model.word_cost
         parts = re.split(f"({_SPACES.pattern})", text)
         for i, word in enumerate(parts):
             if word and not word.isascii():
-                for piece in pieces(word, self.model) if len(word) > PROBE_CHARS else [word]:
+                for piece in dict.fromkeys([word, *pieces(word, self.model)]):
                     other = follow(piece, way)
-                    if self.model.cost(other) < self.model.cost(piece) - 0.5:
+                    if piece in parts[i] and self.model.cost(other) < self.model.cost(piece) - 0.5:
                         parts[i] = parts[i].replace(piece, other)
         return "".join(parts)
 
