@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import columns as C
+from corpusmill.runtime import checkpointed
 
 EXAMPLES = 20
 #: The probe: sampled documents, characters and words read of each, fewest words, shingle width, bands, and greatest distance.
@@ -103,7 +104,11 @@ def simhash(text: str) -> int | None:
 
 
 def simhashes(sample: DataFrame) -> DataFrame:
-    """Rows ``(page_id, split, text_sha256, score, high, low)``: 64-bit fingerprints in halves, for texts with enough words."""
+    """Rows ``(page_id, split, text_sha256, score, high, low)``: 64-bit fingerprints in halves, for texts with enough words.
+
+    A sample comes out of its top-k in one partition; it is spread before the
+    fingerprints are made.
+    """
     names = ["page_id", "split", "text_sha256", "score"]
 
     def run(batches):
@@ -115,7 +120,8 @@ def simhashes(sample: DataFrame) -> DataFrame:
             halves = [pa.array([v >> 32 for v in held], pa.int64()), pa.array([v & 0xFFFFFFFF for v in held], pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, *halves], names=[*names, "high", "low"])
 
-    return sample.select(*names, "text").mapInArrow(run, "page_id bigint, split string, text_sha256 string, score string, high bigint, low bigint")
+    cores = sample.sparkSession.sparkContext.defaultParallelism
+    return sample.select(*names, "text").repartition(cores).mapInArrow(run, "page_id bigint, split string, text_sha256 string, score string, high bigint, low bigint")
 
 
 def near_candidates(fingerprints: DataFrame) -> DataFrame:
@@ -150,8 +156,8 @@ def near_pairs(fingerprints: DataFrame) -> DataFrame:
 
 def near_audit(documents: DataFrame, size: int = SAMPLE) -> DataFrame:
     """One row of figures of the probe: sample, eligible texts, pairs examined, near pairs and those over splits."""
-    sample = near_sample(documents, size)
-    prints = simhashes(sample)
+    sample = checkpointed(near_sample(documents, size))
+    prints = checkpointed(simhashes(sample))
     candidates = near_candidates(prints)
     near = ~F.col("same_text") & (F.col("distance") <= DISTANCE)
     pairs = candidates.agg(
