@@ -8,6 +8,7 @@ from corpusmill.functions import columns as C
 from corpusmill.functions.markup import RESIDUE
 from corpusmill.operators import cascade, catalog, digests, documents, duplicates, ledger, packing, review
 from corpusmill.runtime import table
+from corpusmill.schemas import DOCUMENTS
 from corpusmill.streaming import arrivals
 
 #: Host of the test data's articles; a corpus of the real wiki names its own.
@@ -332,6 +333,9 @@ _TOKENS = rf"""
     totals AS (SELECT split, sum(len(tokens))::BIGINT AS tokens FROM docs GROUP BY split)"""
 
 
+_ROW = f"to_json({{{', '.join(f"'{c}': {c}" for c in sorted(DOCUMENTS.fieldNames()))}}})::VARCHAR"
+
+
 def _residue_sql() -> str:
     kinds = ", ".join(f"CASE WHEN regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}') THEN '{n}' END" for n, p in RESIDUE.items())
     return f"list_filter([{kinds}], lambda x: x IS NOT NULL)"
@@ -451,6 +455,10 @@ def oracle_sql():
             '[\t\f\v ]+', ' ', 'g'), '(?m)^ | $', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\n+|\n+$', '', 'g')) AS collapsed_sha256
             FROM wiki_documents WHERE text IS NOT NULL""",
         "composed_text": "SELECT DISTINCT page_id, sha256(nfc_normalize(text)) AS composed_sha256 FROM wiki_documents WHERE page_id IS NOT NULL AND text IS NOT NULL",
+        "row_digests": f"SELECT page_id, revision_id, sha256({_ROW}) AS row_sha256 FROM wiki_documents",
+        "corpus_digest": f"""WITH held AS (SELECT DISTINCT page_id, sha256({_ROW}) AS h FROM wiki_documents),
+            blocks AS (SELECT floor(coalesce(page_id, -1) / 4096) AS block, count(*) AS n, sha256(string_agg(h, '' ORDER BY page_id NULLS FIRST, h)) AS digest FROM held GROUP BY 1)
+            SELECT count(*) AS blocks, sum(n)::BIGINT AS "rows", sha256(string_agg(digest, '' ORDER BY block)) AS corpus_sha256 FROM blocks""",
         "token_pack": f"WITH {_TOKENS} SELECT split, sequence, (sequence // {PER_SHARD})::BIGINT AS shard, sha256(array_to_string(tokens, ' ')) AS tokens_sha256 FROM packed",
         "token_shards": f"WITH {_TOKENS} SELECT split, (sequence // {PER_SHARD})::BIGINT AS shard, count(*) AS sequences FROM packed GROUP BY split, sequence // {PER_SHARD}",
         "dropped_tails": f"WITH {_TOKENS} SELECT split, tokens, (tokens // {LENGTH})::BIGINT AS sequences, tokens % {LENGTH} AS dropped_tail_tokens FROM totals",
