@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.functions import columns as C
-from corpusmill.functions.markup import RESIDUE
+from corpusmill.functions.markup import BOILERPLATE_HEADINGS, RESIDUE
+from corpusmill.functions.sections import without_boilerplate
 from corpusmill.operators import cascade, catalog, digests, documents, duplicates, ledger, packing, review
 from corpusmill.runtime import table
 from corpusmill.schemas import DOCUMENTS
@@ -217,6 +218,12 @@ def residue_report(spark, d):
     return digests.residue_report(rows, residue_column())
 
 
+def section_skip(spark, d):
+    """Raw page texts without boilerplate sections."""
+    rows = table(spark, d, "dump_pages").select("id", F.col("revision.text").alias("text")).where("text is not null")
+    return rows.select("id", C.text_hash(without_boilerplate(F.col("text"))).alias("kept_sha256"))
+
+
 def collapsed_text(spark, d):
     rows = table(spark, d, "wiki_documents").where("text is not null")
     return rows.select("page_id", C.text_hash(C.collapsed_lines(F.col("text"))).alias("collapsed_sha256")).distinct()
@@ -276,7 +283,7 @@ def queries():
         review_strata, review_candidates, review_problems, review_labels, review_reviewers, structural_drops, dropped_lines, drop_cascade,
         extracted_documents, extraction_reasons, drop_counts, accounting, decision_problems, decisions_against_index,
         decisions_against_documents, page_decisions, segment_ranges, segment_pages, page_positions, index_lines, index_problems, range_problems,
-        remaining_segments, residual_markup, residue_report, collapsed_text, composed_text, row_digests, corpus_digest,
+        remaining_segments, residual_markup, residue_report, section_skip, collapsed_text, composed_text, row_digests, corpus_digest,
         token_pack, token_shards, dropped_tails, bigram_loss, latest_revisions, snapshot_arrivals,
     )
     return {f.__name__: f for f in found}
@@ -451,6 +458,17 @@ def oracle_sql():
         "residual_markup": f"SELECT id, array_to_string({_residue_sql()}, ',') AS kinds FROM {raw} WHERE text IS NOT NULL AND len({_residue_sql()}) > 0",
         "residue_report": f"""WITH hit AS (SELECT DISTINCT {_INT.format('id')} AS page_id, text FROM {raw} WHERE text IS NOT NULL AND len({_residue_sql()}) > 0)
             SELECT count(*) AS texts, array_to_string(list_slice(list_sort(list_distinct(list(page_id) FILTER (page_id IS NOT NULL))), 1, 20), ',') AS first_pages FROM hit""",
+        "section_skip": f"""WITH pages AS (SELECT id, text, row_number() OVER () AS r FROM {raw} WHERE text IS NOT NULL),
+            lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM pages),
+            levels AS (SELECT *, least(6, CASE WHEN length(regexp_extract(line, '^=*')) = length(line) THEN length(line) // 2
+                              ELSE least(length(regexp_extract(line, '^=*')), length(regexp_extract(line, '=*$'))) END) AS level FROM lines),
+            titled AS (SELECT *, regexp_replace(substr(line, level + 1, length(line) - 2 * level), '^\\s+|\\s+$', '', 'g') AS title FROM levels),
+            hiding AS (SELECT r, n, level FROM titled WHERE level > 0 AND regexp_replace(lower(title), ':+$', '') IN {BOILERPLATE_HEADINGS}),
+            spans AS (SELECT h.r, h.n AS first, coalesce(min(t.n), 1000000000) AS after FROM hiding h LEFT JOIN titled t
+                      ON t.r = h.r AND t.n > h.n AND t.level > 0 AND t.level <= h.level GROUP BY h.r, h.n),
+            kept AS (SELECT r, string_agg(CASE WHEN level > 0 THEN title ELSE line END, chr(10) ORDER BY n) AS text FROM titled t
+                     WHERE NOT EXISTS (SELECT 1 FROM spans s WHERE s.r = t.r AND t.n >= s.first AND t.n < s.after) GROUP BY r)
+            SELECT id, sha256(coalesce(k.text, '')) AS kept_sha256 FROM pages LEFT JOIN kept k USING (r)""",
         "collapsed_text": r"""SELECT DISTINCT page_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\r\n|\r', chr(10), 'g'),
             '[\t\f\v ]+', ' ', 'g'), '(?m)^ | $', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\n+|\n+$', '', 'g')) AS collapsed_sha256
             FROM wiki_documents WHERE text IS NOT NULL""",

@@ -67,3 +67,16 @@ def test_sections_and_lines():
     assert normal_lines("a\t b\r\n\r\n\r\n\r\nc\x0b d ") == "a b\n\nc d"
     assert normal_lines("é") == "é"
     assert normal_lines("a '''' b") == "a  b"
+
+
+def test_section_skip_as_a_column_equals_the_scanner(spark):
+    import random
+
+    from corpusmill.functions.sections import without_boilerplate
+
+    r = random.Random(9)
+    lines = ["text", "== Notes ==", "= A =", "=== See also: ===", "==B==", "==== References ====", "====", "=", "=== x ==", "", "======= y ======="]
+    texts = ["\n".join(r.choices(lines, k=r.randrange(0, 14))) for _ in range(400)]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    got = [row[0] for row in frame.coalesce(1).select(without_boilerplate(frame["t"])).collect()]
+    assert got == ["\n".join(skip_boilerplate(t.split("\n"))) for t in texts] + [None]
