@@ -23,7 +23,8 @@ def tidy(column: Column) -> Column:
 
 def language(column: Column) -> Column:
     """The primary part of a language label, such as ``pt`` of ``pt-PT``; without one, ``und``."""
-    return F.coalesce(F.regexp_extract(tidy(column), r"^([a-z]{2,3})(?:[-_].*)?$", 1), F.lit("")).alias("language")
+    code = F.regexp_extract(tidy(column), r"^([a-z]{2,3})(?:[-_].*)?$", 1)
+    return F.when(code != "", code).otherwise("und").alias("language")
 
 
 def edition_language(column: Column) -> Column:

@@ -201,6 +201,7 @@ def test_token_budget(spark):
     assert len(rows) == 8 and {(r["record_id"], r["tokens"]) for r in rows} == {(1, 2), (2, 2), (3, 0), (4, 0), (7, 2), (8, 0), (9, 3)}
     one = next(r for r in rows if r["record_id"] == 1)
     assert (one["source"], one["language"], one["domain"], one["split"]) == ("simplewiki", "en", "si.site.example", "train")
+    assert {r["record_id"]: r["language"] for r in rows if r["corpus"] == "documents"} == {7: "pt", 8: "und", 9: "und"}
     totals = budget.token_totals(records).collect()
     first = next(r for r in totals if r["source"] == "simplewiki")
     assert (first["records"], first["tokens"], first["distinct_tokens"]) == (2, 4, 2)
