@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import shutil
 import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,13 +44,6 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame as a compressed table in the shared folder: smaller than a checkpoint for wide rows."""
-    path = os.path.join(shared_folder(frame.sparkSession), f"{label}-{uuid.uuid4().hex}")
-    frame.write.option("compression", "zstd").parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 def small_side(frame: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """The frame with a broadcast hint if its counted rows are within the limit, else unchanged."""
     return F.broadcast(frame) if rows <= limit else frame
