@@ -17,6 +17,8 @@ _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 _THIRD = np.uint64(0x165667B19E3779F9)
 #: Number of code points Unicode can hold.
 _CODE_SPACE = 0x110000
+#: Characters turned into arrays at once; longer texts go block by block.
+BLOCK_CHARS = 1 << 21
 
 
 @lru_cache(maxsize=1)
@@ -71,11 +73,32 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     A null text has no words.  The second array has one entry more than there
     are texts: words ``offsets[i]:offsets[i + 1]`` belong to text ``i``.
     """
-    codes, bounds = code_points([(t or "").lower() for t in texts])
+    lowered = [(t or "").lower() for t in texts]
+    if sum(map(len, lowered)) > BLOCK_CHARS and (len(lowered) > 1 or len(lowered[0]) > BLOCK_CHARS):
+        return _word_hashes_in_blocks(lowered)
+    codes, bounds = code_points(lowered)
     starts, _, hashes = words_in(codes)
     return hashes, np.concatenate([[0], np.searchsorted(starts, bounds)]).astype(np.int64)
 
 
+def _word_hashes_in_blocks(lowered: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for very long texts, block by block; a block ends where no word does."""
+    parts, counts = [], []
+    for text in lowered:
+        start = count = 0
+        while start < len(text):
+            end = min(len(text), start + BLOCK_CHARS)
+            while end < len(text) and text[end - 1].isalnum() and text[end].isalnum():
+                end += 1
+            _, _, hashes = words_in(code_points([text[start:end]])[0])
+            parts.append(hashes)
+            count += len(hashes)
+            start = end
+        counts.append(count)
+    hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return hashes, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+
+
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of ``width`` words and its text's number, runs never crossing texts."""
     count = len(words) - width + 1

@@ -41,6 +41,15 @@ def test_shingle_sets_of_brute_force():
         assert (np.diff(hashes[ends[i] : ends[i + 1]].astype(object)) > 0).all()
 
 
+def test_long_texts_go_block_by_block(monkeypatch):
+    r = random.Random(3)
+    texts = ["".join(r.choices("aé9 \n日_", k=n)) for n in (0, 5, 400, 3000)] + [None, "x" * 500]
+    whole = word_hashes(texts)
+    monkeypatch.setattr("corpusmill.llm.shingles.BLOCK_CHARS", 64)
+    blocks = word_hashes(texts)
+    assert (whole[0] == blocks[0]).all() and (whole[1] == blocks[1]).all()
+
+
 def test_chunks_cover_all_texts():
     texts = ["a" * n for n in (5, 0, 300, 5, 5)] + [None]
     assert [i for a, b in text_chunks(texts, 10) for i in range(a, b)] == list(range(6))
