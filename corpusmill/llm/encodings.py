@@ -9,6 +9,7 @@ characters, trained on the corpus (see ``CharacterModel``).
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import html
 import math
@@ -79,6 +80,31 @@ def any_utf8_run() -> re.Pattern:
     return re.compile("|".join(f"(?:{utf8_runs(n).pattern[3:-2]})" for n in SINGLE_BYTE))
 
 
+@lru_cache(maxsize=1)
+def _stretches() -> re.Pattern:
+    return re.compile("[" + re.escape("".join(sorted(set().union(*map(_upper, SINGLE_BYTE))))) + "]{2,}")
+
+
+#: Runs of a Latin letter and a sign that never follows it in sound text, though the sign is no symbol.
+_LETTER_AND_SIGN = re.compile("[Â-ß][¡¿ºª³²¹µ°·]|Ã\xa0")
+
+
+@lru_cache(maxsize=200_000)
+def _misread_stretch(stretch: str) -> bool:
+    if _LETTER_AND_SIGN.search(stretch):
+        return True
+    for run in any_utf8_run().finditer(stretch):
+        kinds = {char_kind(c) for c in stretch[max(0, run.start() - 1) : run.end() + 1]}
+        if "S" in {char_kind(c) for c in run[0]} and kinds & set(LETTERS):
+            return True
+    return False
+
+
+def misread(text: str) -> bool:
+    """Whether a text holds UTF-8 read by another encoding: such a run with a symbol in it, in or beside a word."""
+    return any(_misread_stretch(text[max(0, m.start() - 1) : m.end() + 1]) for m in _stretches().finditer(text))
+
+
 def read_utf8(text: str, name: str) -> str:
     """The text with every such run decoded as UTF-8."""
     table = _to_bytes(name)
@@ -211,10 +237,10 @@ def steps_from(text: str):
         if utf8_runs(read).search(text) and (fixed := read_utf8(text, read)) != text:
             yield (read, "utf_8"), fixed
         if outside <= _upper(read):
+            data = text.translate(_to_bytes(read)).encode("latin-1")
             for write in SINGLE_BYTE:
-                if write != read and (other := text.translate(_translation(read, write))) != text:
+                if write != read and (other := codecs.charmap_decode(data, "strict", decoding(write))[0]) != text:
                     yield (read, write), other
-            data = text.translate(_to_bytes(read)).encode("latin-1")
             for write in MULTI_BYTE:
                 if (other := decode_mostly(data, write)) is not None:
                     yield (read, write), other
@@ -298,11 +324,6 @@ class Mender:
         """
         if text.isascii():
             return False, text
-        letters = {c for c in set(text) if c > "\x7f"}
-        uncommon = {c for c in letters if not self.model.common(c)}
-        alien = any("Ͱ" <= c <= "ӿ" for c in letters)
-        if not uncommon and not alien:
-            return False, text
         sound = _QUOTED.sub(self._unquote, text)
         if not restore and _REPLACED in sound:
             return True, text

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.encodings import CharacterModel, Mender, char_kind
+from corpusmill.llm.encodings import CharacterModel, Mender, char_kind, misread
 from corpusmill.runtime import spread
 
 _OTHER_WORDS = re.compile("[Ͱ-ϿЀ-ӿ]+")
@@ -22,7 +22,7 @@ def count_characters(batches):
     sums: Counter = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            if not text:
+            if not text or misread(text):
                 continue
             sums["n", "all"] += 1
             if text.isascii():
@@ -52,7 +52,8 @@ def character_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
     Greek and Cyrillic words and of Latin letters beyond ASCII, and ``n`` for
     the numbers of all documents (``all``) and of those with more than a few
     Greek (``G``), Cyrillic (``C``) or East Asian (``J``) words or letters.  Counted over all
-    documents; each task sends its sums once, so what moves is bounded by the
+    documents but those with misread UTF-8, which would make its characters
+    common; each task sends its sums once, so what moves is bounded by the
     characters there are.
     """
 
