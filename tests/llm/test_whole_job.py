@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import pyarrow as pa
 import pytest
 
-from corpusmill.llm import encodings, garbled
+from corpusmill.llm import encodings, garbled, quality
 
 
 def mender_of(texts):
@@ -25,3 +26,13 @@ def test_a_source_misread_as_a_whole_is_found(word):
     mender = mender_of(sound + [broken] * 60)
     assert mender.examine(broken, True) == (True, f"El {word} llega tarde") and mender.examine(broken)[0]
     assert not any(mender.examine(t)[0] for t in sound)
+
+
+def test_mixed_pages_are_judged_by_characters(spark):
+    lead = "The river was moved to the north because the old mill had failed, and about forty people visit it each year."
+    junk = [hashlib.md5(str(i).encode()).hexdigest() for i in range(80)]
+    texts = [f"{lead}\n{lead}\n" + "\n".join(junk[:25]), f"{lead[:40]}\n" + "\n".join(junk[:5]), "\n".join([lead] * 40 + junk[:40]), lead, lead[:50]]
+    pages = spark.createDataFrame([(i, t, "enwiki") for i, t in enumerate(texts)], "page_id bigint, text string, wiki string")
+    held = {r["page_id"]: r for r in quality.text_statistics(pages).collect()}
+    assert held[0]["prose_share"] < 0.3 and held[0]["common_word_share"] >= 0.2
+    assert {r["page_id"] for r in quality.not_prose(pages).collect()} == {0, 1}
