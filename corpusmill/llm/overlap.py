@@ -75,8 +75,8 @@ def segment_candidates(texts: DataFrame, threshold: float, min_words: int, hot_m
                     if words[i] < min_words:
                         got, meta = mine[:0], 0
                     elif keys[fresh[a + i]][1]:
-                        got = segments.evaluation_keys(mine, order, int(words[i]))
-                        meta = min(segments.needed(len(got)), 0xFFFF) << 1 | 1
+                        got, need = segments.evaluation_request(mine, order, int(words[i]))
+                        meta = min(need, 0xFFFF) << 1 | 1
                     else:
                         got, meta = segments.training_keys(mine, order, int(words[i]), threshold), 0
                     found.append((got >> np.uint64(_META) << np.uint64(_META)) | np.uint64(meta))

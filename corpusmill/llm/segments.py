@@ -40,20 +40,28 @@ def windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def evaluation_keys(values: np.ndarray, ranks: np.ndarray, words: int) -> np.ndarray:
-    """The least window of each segment of one text, each once.
+    """The keys of ``evaluation_request``."""
+    return evaluation_request(values, ranks, words)[0]
 
-    Very frequent windows are left out, unless fewer than half of the segments
-    have another.
+
+def evaluation_request(values: np.ndarray, ranks: np.ndarray, words: int) -> tuple[np.ndarray, int]:
+    """The least window of each segment of one text, each once, and how many of them another text must have to be a candidate.
+
+    Very frequent windows are left out, the most frequent first, but never as
+    many as must be found; each lowers that number by one.  Whoever has enough
+    of all windows so has enough of the rest.
     """
     if not len(values):
-        return values
+        return values, needed(0)
     pieces = max(1, words // (SHORT_SEGMENT if words <= SHORT_WORDS else LONG_SEGMENT))
     cuts = np.arange(pieces + 1) * words // pieces
     starts, lengths = cuts[:-1], np.diff(cuts) - WINDOW + 1
     at = np.minimum(starts[:, None] + np.minimum(np.arange(int(lengths.max())), lengths[:, None] - 1), len(values) - 1)
-    best = np.unique(at[np.arange(pieces), np.argmin(ranks[at], 1)])
-    rare = best[ranks[best] >> np.uint64(63) == 0]
-    return np.unique(values[rare if 2 * len(rare) >= len(best) else best])
+    keys, first = np.unique(values[at[np.arange(pieces), np.argmin(ranks[at], 1)]], return_index=True)
+    order = ranks[at].min(1)[first]
+    need = needed(len(keys))
+    left_out = min(int((order >> np.uint64(63)).sum()), need - 1)
+    return keys[np.sort(np.argsort(order, kind="stable")[: len(keys) - left_out])], need - left_out
 
 
 def training_keys(values: np.ndarray, ranks: np.ndarray, words: int, threshold: float) -> np.ndarray:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from corpusmill.llm import encodings, garbled, quality
+from corpusmill.llm import encodings, garbled, quality, segments
+from corpusmill.llm.partenum import SLOTS, slot
 
 
 def mender_of(texts):
@@ -36,3 +39,24 @@ def test_mixed_pages_are_judged_by_characters(spark):
     held = {r["page_id"]: r for r in quality.text_statistics(pages).collect()}
     assert held[0]["prose_share"] < 0.3 and held[0]["common_word_share"] >= 0.2
     assert {r["page_id"] for r in quality.not_prose(pages).collect()} == {0, 1}
+
+
+@pytest.mark.parametrize("size, share", [(60, 0.45), (100, 0.45), (200, 0.45), (400, 0.45), (400, 0.7), (400, 0.2)])
+def test_edits_outside_a_frequent_part_keep_the_pair(size, share):
+    r = random.Random(size)
+    missed = 0
+    for _ in range(20):
+        words = [f"w{r.randrange(10**6)}" for _ in range(size)]
+        head = int(size * share)
+        edits = int(size * 0.2 / 3)
+        other = list(words)
+        for i in range(edits):
+            other[head + int((i + 0.5) * (size - head) / edits)] = f"e{i}"
+        values, ends, counts = segments.windows([" ".join(words), " ".join(other)])
+        loads = np.ones(SLOTS, np.int64)
+        loads[slot(values[: head - segments.WINDOW + 1])] = 1000
+        ranks = segments.window_ranks(values, loads, 500)
+        keys, need = segments.evaluation_request(values[: ends[1]], ranks[: ends[1]], int(counts[0]))
+        held = segments.training_keys(values[ends[1] :], ranks[ends[1] :], int(counts[1]), 0.6)
+        missed += len(set(keys.tolist()) & set(held.tolist())) < need
+    assert missed == 0
