@@ -400,15 +400,29 @@ class Mender:
         return "".join(parts)
 
 
+@lru_cache(maxsize=1)
+def _foreign() -> re.Pattern:
+    """Stretches of letters of single-byte encodings and of what such encodings make of bytes."""
+    chars = {c for name in SINGLE_BYTE for c in _upper(name)}
+    return re.compile("[A-Za-z" + re.escape("".join(sorted(chars))) + "]{2,}")
+
+
+def _windows(word: str) -> list[str]:
+    """The word in windows of ``PROBE_CHARS`` characters."""
+    return [word[i : i + PROBE_CHARS] for i in range(0, len(word), PROBE_CHARS)]
+
+
 def pieces(word: str, model: CharacterModel) -> list[str]:
-    """The word, or of a word of another script the parts in which uncommon characters lie close together."""
+    """The word in windows; of a word of another script first the stretches that are not of its script, and those in
+    which uncommon characters lie close together."""
     if len(word) < 12 or not any(char_kind(c) == "J" for c in word):
-        return [word[:PROBE_CHARS]] if len(word) <= PROBE_CHARS else [word[i : i + PROBE_CHARS] for i in range(0, len(word), PROBE_CHARS)]
-    places = [i for i, c in enumerate(word) if not model.common(c)]
+        return _windows(word)
     spans: list[list[int]] = []
-    for i in places:
+    for i in (i for i, c in enumerate(word) if not model.common(c)):
         if spans and i - spans[-1][1] <= 4:
             spans[-1][1] = i
         else:
             spans.append([i, i])
-    return [word[a : b + 1] for a, b in spans if b - a >= 3]
+    found = [m[0] for m in _foreign().finditer(word) if not m[0].isascii()]
+    found += [word[a : b + 1] for a, b in spans if b > a]
+    return list(dict.fromkeys(w for piece in [*found, word] for w in _windows(piece)))

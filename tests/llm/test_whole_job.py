@@ -60,3 +60,13 @@ def test_edits_outside_a_frequent_part_keep_the_pair(size, share):
         held = segments.training_keys(values[ends[1] :], ranks[ends[1] :], int(counts[1]), 0.6)
         missed += len(set(keys.tolist()) & set(held.tolist())) < need
     assert missed == 0
+
+
+@pytest.mark.parametrize("broken, sound", [("Ã©", "é"), ("â‚¬", "€"), ("ã\x81‚", "あ"), ("é\xa0…", "項")])
+@pytest.mark.parametrize("before", [20, 400])
+def test_a_short_garbled_place_of_a_long_line_is_found(broken, sound, before):
+    plain = "川は北の町を流れる。" * 60
+    mender = mender_of([plain, "Le café situé à Rouen coûte 5 € l’été"] * 30)
+    line = plain[:before] + broken + plain[:100]
+    assert mender.examine(line, True) == (True, plain[:before] + sound + plain[:100])
+    assert not mender.examine(plain, True)[0]
