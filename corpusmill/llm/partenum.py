@@ -9,6 +9,9 @@ of ``PARTS - MISSING`` second-level ones gives a signature, the hash of the
 set's shingles in them.  Two sets share a signature wherever they agree on
 such a choice, which similar sets do in several partitions.
 
+Sets of few shingles fill no partitions; they get exact signatures by single
+shingles as well.
+
 Two deviations from the textbook scheme keep it selective on texts:
 
 * Very frequent shingles say little.  They are left out of the domain, which
@@ -32,6 +35,8 @@ PARTS, MISSING = 3, 1
 GROUPS = 40
 #: Expected shingles in a second-level partition, and the fewest in a signature, for small and for larger bands.
 SMALL_BAND, FILL_SMALL, FILL, LEAST_SMALL, LEAST = 100, 1.5, 2.0, 2, 3
+#: Sets of at most so many shingles have exact signatures, as have those that can be alike to them.
+EXACT = 17
 #: A set with a smaller share of shingles that are not very frequent gets the signatures of the whole domain too.
 RARE_SHARE = 0.6
 #: Counters for shingle frequencies, and the share of documents from which a counter marks its shingles as very frequent.
@@ -81,7 +86,26 @@ def signatures(
             got = _band_signatures(value[keep], owner[keep], (band + step)[owner[keep]], high, domain)
             found.append(got[0])
             owners.append(got[1])
-    return np.concatenate(found), np.concatenate(owners)
+    small = _small_signatures(hashes, owner, rare, sizes, threshold, seed)
+    return np.concatenate([*found, small[0]]), np.concatenate([*owners, small[1]])
+
+
+def _small_signatures(hashes, owner, rare, sizes, threshold, seed):
+    """Exact signatures of the sets that can be alike to one of at most ``EXACT`` shingles.
+
+    In an order of all shingles, the very frequent ones last, two sets alike to
+    the threshold have a shingle in common among the first
+    ``size - ceil(threshold * size) + 1`` of each.
+    """
+    keep = (sizes <= EXACT / threshold)[owner]
+    value, owner, rare = hashes[keep], owner[keep], rare[keep]
+    value = mix(value + np.uint64(seed * 1000003 + 3))
+    order = np.lexsort((value, ~rare, owner))
+    value, owner = value[order], owner[order]
+    place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    held = sizes[owner]
+    use = place <= held - np.ceil(threshold * held - 1e-9)
+    return value[use], owner[use]
 
 
 def _band_signatures(value, owner, band, high, domain):

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from corpusmill.llm import encodings, garbled, quality, segments
+from corpusmill.llm import encodings, garbled, near, partenum, quality, segments
 from corpusmill.llm.partenum import SLOTS, slot
 
 
@@ -70,3 +70,21 @@ def test_a_short_garbled_place_of_a_long_line_is_found(broken, sound, before):
     line = plain[:before] + broken + plain[:100]
     assert mender.examine(line, True) == (True, plain[:before] + sound + plain[:100])
     assert not mender.examine(plain, True)[0]
+
+
+@pytest.mark.parametrize("small, large, shared", [(1, 1, 1), (2, 3, 2), (4, 6, 4), (5, 5, 4), (7, 11, 7), (12, 14, 10), (17, 28, 17)])
+def test_similar_small_sets_always_share_a_signature(small, large, shared):
+    r = random.Random(small)
+    for frequent in (np.zeros(partenum.SLOTS, bool), np.array([r.random() < 0.5 for _ in range(partenum.SLOTS)])):
+        for _ in range(100):
+            pool = r.sample(range(1 << 62), small + large - shared)
+            sets = [np.sort(np.array(x, np.uint64)) for x in (pool[:small], pool[small - shared :])]
+            assert shared / len(pool) >= 0.6
+            found, owner = partenum.signatures(np.concatenate(sets), np.array([0, small, small + large]), frequent, 0.6)
+            assert set(found[owner == 0].tolist()) & set(found[owner == 1].tolist())
+
+
+def test_texts_that_repeat_a_word_are_near(spark):
+    texts = ["la " * 20, "LA " * 25, "la " * 300, "na " * 30, "ho hey " * 10, "ho hey " * 40]
+    pages = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "page_id bigint, text string")
+    assert {tuple(r) for r in near.near_pages(pages).collect()} == {(0, 1), (0, 2), (1, 2), (4, 5)}
