@@ -13,7 +13,7 @@ class SourceError(CorpusError):
     """Source data could not be fetched, or are not what was announced."""
 
 
-class FormatError(CorpusError):
+class FormatError(CorpusError, ValueError):
     """Source data do not have the form they must have."""
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import mmap
 from pathlib import Path
 
 import numpy as np
@@ -21,18 +22,26 @@ def token_type(largest: int) -> str:
     return "uint16-le" if largest < 1 << 16 else "uint32-le"
 
 
+def sequences_of(content, kind: str, length: int) -> np.ndarray:
+    """The bytes of a shard as an array of sequences; the bytes are not copied."""
+    width = np.dtype(TOKEN_TYPES.get(kind) or _refuse(f"unknown token type {kind}"))
+    size = length * width.itemsize
+    if size <= 0 or len(content) % size:
+        _refuse(f"{len(content)} bytes are no whole number of sequences of {length} tokens")
+    return np.frombuffer(content, width).reshape(-1, length)
+
+
+def _refuse(reason: str):
+    raise FormatError(reason)
+
+
 class ShardView:
-    """A shard mapped into memory; ``view[i]`` is sequence ``i``."""
+    """The sequences of a shard file, read from the disk as they are used; ``view[i]`` is sequence ``i``."""
 
     def __init__(self, path: Path, kind: str, length: int):
-        if kind not in TOKEN_TYPES:
-            raise ValueError(f"unknown token type {kind}")
-        if length <= 0:
-            raise ValueError("a sequence has at least one token")
-        width = np.dtype(TOKEN_TYPES[kind])
-        if path.stat().st_size % (length * width.itemsize):
-            raise ValueError("the file holds no whole number of sequences")
-        self.rows = np.memmap(path, dtype=width, mode="r").reshape(-1, length) if path.stat().st_size else np.zeros((0, length), width)
+        with path.open("rb") as file:
+            content = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) if path.stat().st_size else b""
+        self.rows = sequences_of(content, kind, length)
 
     def __len__(self) -> int:
         return len(self.rows)
@@ -43,16 +52,13 @@ class ShardView:
 
 def read_shards(spark: SparkSession, folder: str, kind: str, length: int) -> DataFrame:
     """Rows ``(path, sequence, tokens)`` of all sequences of the shards in a folder."""
-    width = np.dtype(TOKEN_TYPES[kind])
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if len(content) % (length * width.itemsize):
-                    raise FormatError("the file holds no whole number of sequences")
-                values = np.frombuffer(content, width).astype(np.int64)
-                count = len(values) // length
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype=np.int32) * length), pa.array(values))
+                values = sequences_of(content, kind, length).astype(np.int64)
+                count = len(values)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype=np.int32) * length), pa.array(values.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * count, pa.string()), pa.array(range(count), pa.int64()), lists], names=["path", "sequence", "tokens"]
                 )

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from corpusmill.functions.markup import has_residue
-from corpusmill.functions.wikitext import count_words, normal_lines, plain_text, skip_boilerplate
+from corpusmill.functions.wikitext import count_words, normal_lines, plain_text, shown_sections
 from corpusmill.operators.cascade import text_reason
 
 
@@ -63,7 +63,7 @@ def test_sound_text_has_no_residue(text):
 
 
 def test_sections_and_lines():
-    assert skip_boilerplate(["a", "== Notes: ==", "b", "=== Sub ===", "c", "== Next ==", "d"]) == ["a", "Next", "d"]
+    assert shown_sections("a\n== Notes: ==\nb\n=== Sub ===\nc\n== Next ==\nd") == "a\nNext\nd"
     assert normal_lines("a\t b\r\n\r\n\r\n\r\nc\x0b d ") == "a b\n\nc d"
     assert normal_lines("é") == "é"
     assert normal_lines("a '''' b") == "a  b"
@@ -79,4 +79,4 @@ def test_section_skip_as_a_column_equals_the_scanner(spark):
     texts = ["\n".join(r.choices(lines, k=r.randrange(0, 14))) for _ in range(400)]
     frame = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
     got = [row[0] for row in frame.coalesce(1).select(without_boilerplate(frame["t"])).collect()]
-    assert got == ["\n".join(skip_boilerplate(t.split("\n"))) for t in texts] + [None]
+    assert got == [shown_sections(t) for t in texts] + [None]
