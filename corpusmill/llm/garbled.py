@@ -14,7 +14,8 @@ from corpusmill.llm.encodings import CharacterModel, Mender, char_kind, misread
 from corpusmill.runtime import spread
 
 _OTHER_WORDS = re.compile("[Ͱ-ϿЀ-ӿ]+")
-_LATIN_PAIRS = re.compile("(?=([\u00c0-\u024f]{2}))")
+#: Runs of Latin letters.
+_LATIN_WORDS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def count_characters(batches):
@@ -22,22 +23,30 @@ def count_characters(batches):
     sums: Counter = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            if not text or misread(text):
+            if not text:
                 continue
-            sums["n", "all"] += 1
             if text.isascii():
+                sums["n", "all"] += 1
+                continue
+            # all that counts lies in words with a character beyond ASCII
+            words = " ".join(w for w in set(text.replace("\n", " ").split(" ")) if not w.isascii())
+            if misread(words):
                 continue
-            chars = {c for c in set(text) if c > "\x7f"}
+            sums["n", "all"] += 1
+            chars = {c for c in set(words) if c > "\x7f"}
             sums.update(("c", c) for c in chars)
-            if any(c >= "\u2e80" for c in chars) and sum(c >= "\u2e80" for c in text) > 20:
+            if any(c >= "\u2e80" for c in chars) and sum(c >= "\u2e80" for c in words) > 20:
                 sums["n", "J"] += 1
-            sums.update(("p", p) for p in set(_LATIN_PAIRS.findall(text.lower())))
+            lower = words.lower()
+            runs = {r for r in set(_LATIN_WORDS.findall(lower)) if not r.isascii()}
+            pairs = {p for w in runs for p in map("".join, zip("^" + w, w + "$")) if not p.isascii()}
+            sums.update(("p", p) for p in pairs)
             if any("Ͱ" <= c <= "ӿ" for c in chars):
-                words = set(_OTHER_WORDS.findall(text.lower()))
-                pairs = {p for w in words for p in map("".join, zip("^" + w, w + "$"))}
+                others = set(_OTHER_WORDS.findall(lower))
+                pairs = {p for w in others for p in map("".join, zip("^" + w, w + "$"))}
                 sums.update(("p", p) for p in pairs)
                 for name, low, high in (("G", "Ͱ", "Ѐ"), ("C", "Ѐ", "Ԁ")):
-                    if sum(low <= w[0] < high for w in words) > 5:
+                    if sum(low <= w[0] < high for w in others) > 5:
                         sums["n", name] += 1
     kinds, marks = [k for k, _ in sums], [m for _, m in sums]
     yield pa.RecordBatch.from_arrays(
@@ -49,11 +58,13 @@ def character_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """Rows ``(kind, mark, documents)``: in how many documents each character and pair of letters occurs.
 
     ``kind`` is ``c`` for characters, ``p`` for pairs of neighbouring letters of
-    Greek and Cyrillic words and of Latin letters beyond ASCII, and ``n`` for
-    the numbers of all documents (``all``) and of those with more than a few
-    Greek (``G``), Cyrillic (``C``) or East Asian (``J``) words or letters.  Counted over all
-    documents but those with misread UTF-8, which would make its characters
-    common; each task sends its sums once, so what moves is bounded by the
+    Greek and Cyrillic words and of Latin letters of which one is beyond ASCII,
+    with the ends of words, and ``n`` for the numbers of all documents
+    (``all``) and of those with more than a few Greek (``G``), Cyrillic (``C``)
+    or East Asian (``J``) words or letters.  Counted over all documents but
+    those with a mark of misreading (``encodings.misread``), so that a whole
+    source that is garbled in one way does not make its garbling look common;
+    each task sends its sums once, so what moves is bounded by the pairs of
     characters there are.
     """
 

@@ -88,3 +88,71 @@ def test_texts_that_repeat_a_word_are_near(spark):
     texts = ["la " * 20, "LA " * 25, "la " * 300, "na " * 30, "ho hey " * 10, "ho hey " * 40]
     pages = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "page_id bigint, text string")
     assert {tuple(r) for r in near.near_pages(pages).collect()} == {(0, 1), (0, 2), (1, 2), (4, 5)}
+
+
+LISTED = "Größe, Öl, Übung, Ärger, ß; Åland, Ørsund, Łódź, naïve, smörgåsbord, Þór, ð"
+
+
+def test_rare_but_right_characters_are_no_case():
+    common = ["Die große Höhle über dem Fluss gehört zur Brücke und wächst jährlich für alle Bürger", "L’été où naît la forêt protégée près du café français"]
+    mender = mender_of(common * 300 + [LISTED])
+    assert mender.examine(LISTED, True) == (False, LISTED)
+    for text in ("The letter é, quoted as “Ð¿” for п, ends here", "naïve Übung", "Ärger in Åland", "ñ and þ and Ñ"):
+        assert mender.examine(text, True) == (False, text)
+
+
+@pytest.mark.parametrize("broken", ["caf&Atilde;&copy;", "caf&#195;&#169;", "caf&#xC3;&#xA9;", "cafÃ&copy;"])
+def test_escaped_garbling_is_found(broken):
+    mender = mender_of(["Le café situé près de la forêt"] * 20)
+    assert mender.examine(f"Un {broken} ferme", True) == (True, "Un café ferme")
+    assert mender.examine("Un caf&eacute; &amp; plus", True) == (False, "Un caf&eacute; &amp; plus")
+
+
+def test_four_times_garbled_and_lower_cased_texts_are_mended():
+    sound = "Le café situé près de la forêt protège l’été"
+    mender = mender_of([sound] * 20)
+    broken = sound
+    for _ in range(4):
+        broken = "".join(encodings.decoding("cp1252")[b] for b in broken.encode())
+    assert mender.examine(broken, True) == (True, sound)
+    once = "".join(encodings.decoding("cp1252")[b] for b in "Café situé".encode()).lower()
+    assert mender.examine(f"Le {once} ferme", True) == (True, "Le café situé ferme")
+
+
+@pytest.mark.parametrize("write, read", [("cp1252", "cp1251"), ("mac_roman", "cp1252"), ("cp850", "cp1252")])
+def test_a_source_misread_between_single_bytes_is_found(write, read):
+    sound = ["La célèbre forêt brûlée près de l’île où naît l’été", "Une école élevée protège la bibliothèque dorée"] * 30
+    broken = ["".join(encodings.decoding(read)[b] for b in s.encode(write, "ignore")) for s in sound]
+    mender = mender_of(sound + broken[:40])
+    assert all(mender.examine(b)[0] for b in broken) and not any(mender.examine(s)[0] for s in sound)
+
+
+def test_pieces_with_many_states_are_searched_in_halves(monkeypatch):
+    mender = mender_of(["Le café situé près de la forêt protège l’été"] * 20)
+    monkeypatch.setattr(encodings, "MOST_STATES", 3)
+    monkeypatch.setattr(encodings, "LEAST_PIECE", 8)
+    word = "forêtprotègecafésituéprès"
+    broken = word.encode().decode("cp1252")
+    assert mender.examine(f"Le {broken} ferme", True) == (True, f"Le {word} ferme")
+
+
+def test_planted_cases_are_restored():
+    r = random.Random(8)
+    frames = {
+        "fr": "Le café situé près de la forêt protège une dorée bibliothèque élevée et l’île déjà célèbre où naît l’été",
+        "ru": "Старая школа была перенесена потому что общая башня сгорела у реки в лесу",
+        "de": "Die große Höhle über dem Fluss gehört zur Brücke und wächst jährlich für alle Bürger",
+        "pl": "Później łąka została przeniesiona bo źródło spłonęło główna wieś leży koło zamku",
+    }
+    texts = {k: [" ".join(r.sample(t.split(), 9)) for _ in range(60)] for k, t in frames.items()}
+    mender = mender_of([t for ts in texts.values() for t in ts])
+    ways = [("utf_8", "cp1252"), ("utf_8", "iso8859_1"), ("utf_8", "cp1250"), ("utf_8", "mac_roman"), ("utf_8", "cp437")]
+    made = whole = 0
+    for name, held in texts.items():
+        for write, read in ways + ([("cp1251", "cp1252")] if name == "ru" else [("cp1250", "cp1252")] if name == "pl" else []):
+            for text in held[:25]:
+                broken = "".join(encodings.decoding(read)[b] for b in text.encode(write, "ignore"))
+                if broken != text:
+                    made += 1
+                    whole += mender.examine(broken, True) == (True, text.encode(write, "ignore").decode(write))
+    assert made > 400 and whole >= 0.98 * made
