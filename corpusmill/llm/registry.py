@@ -72,6 +72,10 @@ def p8_shares(spark, d):
     return mixing.mix_shares(mixing.mix_sources(table(spark, d, "documents"), targets), targets)
 
 
+def p8_margins(spark, d):
+    return mixing.mix_margins(mixing.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets")))
+
+
 def p9_found(spark, d):
     return garbled.garbled_documents(table(spark, d, "documents"))
 
@@ -82,7 +86,7 @@ def p9_restored(spark, d):
 
 def queries():
     """All queries of the subpackage by name."""
-    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p3_found, p3_statistics, p4_containers, p4_fill, p5_found, p5_groups, p6_found, p6_overlaps, p7_ids, p8_mix, p8_shares, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_sample, p1_growth, p2_tokens, p2_totals, p3_found, p3_statistics, p4_containers, p4_fill, p5_found, p5_groups, p6_found, p6_overlaps, p7_ids, p8_mix, p8_shares, p8_margins, p9_found, p9_restored)}
 
 
 def oracle_sql():

@@ -257,6 +257,33 @@ def test_mix_reaches_its_shares(spark):
         mixing.mix_sources(documents(spark, rows), twice)
 
 
+def test_margins_of_languages_and_topics_are_met(spark):
+    r = random.Random(6)
+    rows = [
+        (i, " ".join(words(r, r.choice([12, 60, 220]))), r.choices(["en", "de", "fr"], [6, 3, 1])[0], r.choices(["big", "mid", "small"], [6, 3, 1])[0]) for i in range(9000)
+    ]
+    targets = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.3, 2), ("small", 0.2, 4)], "source string, target_share double, max_repeats int")
+    docs = documents(spark, rows)
+
+    def shares(languages=None, topics=None):
+        tables = [spark.createDataFrame(list(t.items()), f"{n} string, target_share double") if t else None for n, t in (("language", languages), ("topic", topics))]
+        mix = mixing.mix_sources(docs, targets, languages=tables[0], topics=tables[1])
+        assert all(x["copies"] <= {"big": 1, "mid": 2, "small": 4}[x["source"]] for x in mix.collect())
+        return {(x["margin"], x["label"]): x["share"] for x in mixing.mix_margins(mix).collect()}
+
+    wanted = {"en": 0.4, "de": 0.35, "fr": 0.25}
+    topics = {"short": 0.25, "medium": 0.6, "long": 0.15}
+    held = shares(wanted, topics)
+    for name, share in [(("source", "big"), 0.5), (("source", "mid"), 0.3), (("source", "small"), 0.2)] + [(("language", k), v) for k, v in wanted.items()] + [(("topic", k), v) for k, v in topics.items()]:
+        assert held[name] == pytest.approx(share, rel=0.01), name
+    other = shares({"en": 0.7, "de": 0.2, "fr": 0.1}, topics)
+    assert other["language", "en"] == pytest.approx(0.7, rel=0.01) and other["topic", "long"] == pytest.approx(0.15, rel=0.01)
+    plain = shares()
+    assert plain["source", "big"] == pytest.approx(0.5, rel=0.01) and plain["language", "fr"] > 0.11
+    only = shares({"de": 1.0})
+    assert only["language", "de"] == 1 and ("language", "en") not in only
+
+
 def test_quality(spark):
     english = "The river was moved to the north because the old mill had failed, and about forty people visit it each year."
     table = "\n".join(f"Name{i} | place | {i} | {i * 7}" for i in range(9))
