@@ -172,20 +172,81 @@ def test_mix_plan_takes_the_largest_feasible_size():
     assert mixing.mix_plan([], [("a", 0.5, 1)]) == []
 
 
-def test_profiles_tell_prose_from_the_rest():
+SENTENCES = {
+    "en": """The river was moved to the north because the old mill had failed, and about forty people visit it each year.
+        In the winter of the same year the bridge was closed, but the people of the town went on with the work.
+        It is known for the market that was held in the square, and for the songs which are sung there.
+        The council of the village had asked for a new road, although the money for it was not there.
+        Some of the houses near the lake were built by the men who had worked in the mine.
+        When the war was over, the school was opened again and the children came back to it.""",
+    "de": """Der Fluss ist nicht weit von der Stadt und die Leute sind oft dort, weil es im Sommer ruhig ist.
+        Die alte Mühle wurde in der Zeit nach dem Krieg von den Bauern gebaut und ist noch zu sehen.
+        In der Mitte des Dorfes steht die Kirche, die mit dem Turm und den Glocken bekannt wurde.
+        Als der Markt auf den Platz kam, war die Straße zu eng und der Rat ließ sie neu bauen.
+        Es gibt in den Bergen viele Wege, und die meisten von ihnen sind auch im Winter offen.
+        Der Name kommt von einem Wort, das in der alten Sprache so viel wie Wiese bedeutet.""",
+}
+STRANGE = {
+    "it": "Il fiume scorre a nord della città e ogni anno molte persone vanno a vedere il vecchio mulino, che fu costruito dopo la guerra.",
+    "nl": "De rivier loopt ten noorden van de stad en elk jaar komen er veel mensen kijken naar de oude molen, die na de oorlog werd gebouwd.",
+    "fi": "Joki virtaa kaupungin pohjoispuolella, ja joka vuosi monet ihmiset käyvät katsomassa vanhaa myllyä, joka rakennettiin sodan jälkeen.",
+    "zh": "这条河流经城市的北部，每年都有许多人来参观战后建造的旧磨坊。镇上的人们说，那里的市场曾经非常有名。",
+    "ar": "يجري النهر شمال المدينة، وفي كل عام يأتي كثير من الناس لرؤية الطاحونة القديمة التي بنيت بعد الحرب.",
+}
+
+
+def prose_of(code, count, seed=0):
+    """Texts of some sentences in any order; every eighth is a list."""
+    r = random.Random(seed)
+    sentences = [line.strip() for line in SENTENCES[code].split("\n")]
+    words = [w.strip(".,") for line in sentences for w in line.split() if len(w) > 5]
+    lists = ["\n".join(f"{r.choice(words)} {r.choice(words)}" for _ in range(14)) for _ in range(count // 8)]
+    return [" ".join(r.sample(sentences, 4)) for _ in range(count)] + lists
+
+
+@pytest.fixture(scope="module")
+def learnt():
+    return [prose.fit(code, prose_of(code, 160)) for code in SENTENCES]
+
+
+def test_profiles_tell_prose_from_the_rest(learnt):
     english = "The river was moved to the north because the old mill had failed, and about forty people visit it each year."
     texts = [english, "\n".join(f"Name{i} place | {i} | {i * 7}" for i in range(9)), "#### ---- ****", "", None, "  \n", english.upper(), english.replace(" ", "\n", 3),
              "\n".join(f"https://img.example/{i:06x}/{i}" for i in range(8)), f"{english}\n1, 2, 3"]
-    got = prose.measure(texts, ["en"] * len(texts))
+    got = prose.measure(texts, ["en"] * len(texts), learnt)
     assert [p == 0 for p in got["profile"]] == [True, False, False, False, False, False, True, True, False, True]
     assert got["profile"][3] == got["profile"][4] == got["profile"][5] == -1
     assert got["words"][0] == len(english.split()) and got["closed_line_share"][0] == 1 and got["prose_share"][3] == 0
-    guessed = prose.measure(["Der Fluss ist nicht weit von der Stadt und die Leute sind oft dort", english], [None, "xx"])
-    assert [prose.languages()[k] for k in guessed["language"]] == ["de", "en"]
+    guessed = prose.measure(["Der Fluss ist nicht weit von der Stadt und die Leute sind oft dort", english, english], [None, "xx", None], learnt)
+    assert guessed["language"].tolist() == [1, -1, 0]
     assert prose.divergence(np.array([[1.0, 0]]), np.array([0, 1.0])) == pytest.approx([1.0])
     assert prose.divergence(np.array([[0.5, 0.5]]), np.array([0.5, 0.5])) == pytest.approx([0.0])
 
 
+def test_held_out_prose_lists_and_words_in_no_order(learnt):
+    r = random.Random(4)
+    for number, code in enumerate(SENTENCES):
+        held = prose_of(code, 80, seed=9)
+        whole, lists = held[:80], held[80:]
+        salad = []
+        for text in whole:
+            ws = text.split()
+            r.shuffle(ws)
+            salad.append(" ".join(ws))
+        got = [prose.measure(part, [code] * len(part), learnt)["profile"] for part in (whole, lists, salad)]
+        assert (got[0] == 0).all() and (got[1] == prose.OUTCOMES.index("list")).all() and (got[2] == prose.OUTCOMES.index("salad")).mean() > 0.95
+    assert prose.fit("en", prose_of("en", 20)[:20]) is None
+
+
+@pytest.mark.parametrize("code", STRANGE)
+def test_prose_of_a_language_that_was_not_learnt_is_prose(learnt, code):
+    text = STRANGE[code]
+    for model in ([], learnt):
+        got = prose.measure([text, f"{text}\n{text}", "\n".join(text.split()[:9]), "\n".join(f"{w} | {i * 17} | {i}" for i, w in enumerate(text.split() if code != "zh" else text))], [code] * 4, model)
+        assert got["profile"][:2].tolist() == [0, 0] and got["profile"][3] > 0
+        assert code == "zh" or got["profile"][2] > 0
+
+
 SOUND = {
     "fr": "Le café situé près de la forêt protège une dorée bibliothèque élevée et l’île déjà célèbre où naît l’été",
     "ru": "Старая школа была перенесена потому что общая башня сгорела вдоль реки",

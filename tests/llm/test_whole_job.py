@@ -35,7 +35,10 @@ def test_mixed_pages_are_judged_by_characters(spark):
     lead = "The river was moved to the north because the old mill had failed, and about forty people visit it each year."
     junk = [hashlib.md5(str(i).encode()).hexdigest() for i in range(80)]
     texts = [f"{lead}\n{lead}\n" + "\n".join(junk[:25]), f"{lead[:40]}\n" + "\n".join(junk[:5]), "\n".join([lead] * 40 + junk[:40]), lead, lead[:50]]
-    pages = spark.createDataFrame([(i, t, "enwiki") for i, t in enumerate(texts)], "page_id bigint, text string, wiki string")
+    r = random.Random(0)
+    more = [lead, "It was known for the mill and the market that had been held in the town.", "The people of the town had asked for it to be moved, and it was.", "To the north of it was the lake, and the road had been closed."]
+    texts += [" ".join(r.sample(more, 3)) for _ in range(60)]
+    pages = spark.createDataFrame([(i, f"{t} {i}" if i > 4 else t, "enwiki") for i, t in enumerate(texts)], "page_id bigint, text string, wiki string")
     held = {r["page_id"]: r for r in quality.text_statistics(pages).collect()}
     assert held[0]["prose_share"] < 0.3 and held[0]["common_word_share"] >= 0.2
     assert {r["page_id"] for r in quality.not_prose(pages).collect()} == {0, 1}
