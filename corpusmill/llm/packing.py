@@ -20,7 +20,9 @@ from corpusmill.runtime import checkpointed
 #: Containers of a shard: enough that the last, emptier ones hardly count, few enough to pack in memory.
 SHARD_CONTAINERS = 512
 #: Most texts or pieces of one container.
-MAX_ITEMS = 256
+MAX_ITEMS = 32
+#: Attention cost of one container, the sum of its items' squared lengths, as a share of the squared capacity.
+ATTENTION_SHARE = 0.85
 #: Weights of the three constraints in the choice of a container.
 WEIGHTS = (1.0, 0.05, 0.25)
 
@@ -29,16 +31,17 @@ def best_fit(sizes: np.ndarray, capacity: int, max_items: int = MAX_ITEMS, atten
     """The container number of each item, none larger than the capacity.
 
     Every item asks for a share of three capacities: its length, one place of
-    ``max_items``, and its squared length of ``attention``, by default the
-    square of the capacity.  Among the open containers that can take it under
+    ``max_items``, and its squared length of ``attention``, by default
+    ``ATTENTION_SHARE`` of the squared capacity.  An item that costs more
+    attention than that by itself is alone in its container.  Among the open containers that can take it under
     all three it goes to the one with the smallest weighted norm of what would
     be left (``norm``) or the largest weighted product with what is left
     (``dot``); ties go to the older container, and where none fits a new one is
     opened.
     """
-    attention = float(capacity) ** 2 if attention is None else float(attention)
+    attention = ATTENTION_SHARE * float(capacity) ** 2 if attention is None else float(attention)
     sizes = np.asarray(sizes, float)
-    need = np.stack([sizes / capacity, np.full(len(sizes), 1 / max_items), sizes**2 / attention], 1)
+    need = np.stack([sizes / capacity, np.full(len(sizes), 1 / max_items), np.minimum(1.0, sizes**2 / attention)], 1)
     if len(sizes) and need.max() > 1 + 1e-12:
         raise ValueError("an item exceeds a capacity by itself")
     weights = np.array(WEIGHTS)
@@ -67,8 +70,23 @@ def best_fit(sizes: np.ndarray, capacity: int, max_items: int = MAX_ITEMS, atten
     return places
 
 
+def _capacities(capacities: DataFrame) -> DataFrame:
+    """Rows ``(split, capacity)``: the smaller one of a split that occurs twice; null splits and capacities below 1 are left out."""
+    return (
+        capacities.select(tidy(F.col("split")).alias("split"), F.col("capacity_chars").cast("bigint").alias("capacity"))
+        .where("capacity > 0 and split is not null")
+        .groupBy("split")
+        .agg(F.min("capacity").alias("capacity"))
+    )
+
+
 def pack_texts(
-    pages: DataFrame, capacities: DataFrame, max_items: int = MAX_ITEMS, shard_containers: int = SHARD_CONTAINERS, score: str = "norm"
+    pages: DataFrame,
+    capacities: DataFrame,
+    max_items: int = MAX_ITEMS,
+    shard_containers: int = SHARD_CONTAINERS,
+    score: str = "norm",
+    attention_share: float = ATTENTION_SHARE,
 ) -> DataFrame:
     """Rows ``(page_id, split, piece, piece_start, n_chars, container)``: the container of each text or piece.
 
@@ -78,14 +96,11 @@ def pack_texts(
     and empty texts need no container and give no row; nor do rows whose split,
     trimmed and lower-cased, has no capacity.  Full pieces fill a container and
     are numbered without being packed.  Splits that occur twice in
-    ``capacities`` take the smaller one.
+    ``capacities`` take the smaller one.  A container holds at most
+    ``max_items`` items and ``attention_share`` of the squared capacity in
+    squared lengths, unless a single item exceeds that.
     """
-    caps = (
-        capacities.select(tidy(F.col("split")).alias("split"), F.col("capacity_chars").cast("bigint").alias("capacity"))
-        .where("capacity > 0 and split is not null")
-        .groupBy("split")
-        .agg(F.min("capacity").alias("capacity"))
-    )
+    caps = _capacities(capacities)
     items = (
         pages.select("page_id", tidy(F.col("split")).alias("split"), F.length("text").cast("bigint").alias("size"), F.xxhash64("text").alias("text_key"))
         .where("size > 0")
@@ -94,7 +109,11 @@ def pack_texts(
     )
     items = checkpointed(items)
     shares = items.groupBy("split").agg(
-        F.greatest(F.ceil(F.sum(F.col("size") % F.col("capacity")) / (F.max("capacity") * F.lit(shard_containers))), F.lit(1)).alias("shards")
+        F.greatest(
+            F.ceil(F.sum(F.col("size") % F.col("capacity")) / (F.max("capacity") * F.lit(shard_containers))),
+            F.ceil(F.count(F.lit(1)) / F.lit(max_items * shard_containers)),
+            F.lit(1),
+        ).alias("shards")
     )
     pieces = (
         items.join(F.broadcast(shares), "split")
@@ -110,7 +129,8 @@ def pack_texts(
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["page_id", "text_key", "piece"], kind="stable")
-        places = best_fit(frame["n_chars"].to_numpy(), int(frame["capacity"].iloc[0]), max_items, None, score)
+        capacity = int(frame["capacity"].iloc[0])
+        places = best_fit(frame["n_chars"].to_numpy(), capacity, max_items, attention_share * float(capacity) ** 2, score)
         frame["container"] = [f"{s}-{h:06d}-{p:05d}" for s, h, p in zip(frame["split"], frame["shard"], places)]
         return frame[[*columns, "container"]]
 
@@ -121,7 +141,7 @@ def pack_texts(
 
 def container_fill(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     """Rows ``(split, containers, items, chars, least_containers, fill)`` of each split that has containers."""
-    caps = capacities.select(tidy(F.col("split")).alias("split"), F.col("capacity_chars").alias("capacity"))
+    caps = _capacities(capacities)
     return (
         packed.groupBy("split")
         .agg(F.countDistinct("container").alias("containers"), F.count(F.lit(1)).alias("items"), F.sum("n_chars").alias("chars"))

@@ -230,11 +230,34 @@ def test_containers(spark):
         assert [p["piece_start"] for p in parts] == [k * cap for k in range(len(parts))]
     again = packing.pack_texts(wiki(spark, rows, 11), sizes, shard_containers=20).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, found))
-    fill = {x["split"]: x["fill"] for x in packing.container_fill(packing.pack_texts(wiki(spark, rows), sizes), sizes.where("capacity_chars in (1000, 700)")).collect()}
+    fill = {x["split"]: x["fill"] for x in packing.container_fill(packing.pack_texts(wiki(spark, rows), sizes), sizes).collect()}
     assert min(fill.values()) > 0.9
     assert packing.pack_texts(wiki(spark, rows).limit(0), sizes).count() == 0
 
 
+def test_each_constraint_of_containers_binds(spark):
+    r = random.Random(4)
+    rows = [(i, "x" * r.choice([3, 5, 8, 400, 700, 930, 960]), "train", "enwiki") for i in range(600)]
+    sizes = spark.createDataFrame([("train", 1000)], "split string, capacity_chars bigint")
+
+    def packed(**settings):
+        held = {}
+        for f in packing.pack_texts(wiki(spark, rows), sizes, **settings).collect():
+            held.setdefault(f["container"], []).append(f["n_chars"])
+        return held
+
+    both, no_items, no_attention = packed(), packed(max_items=10_000), packed(attention_share=1.0)
+    assert max(map(len, both.values())) <= packing.MAX_ITEMS < max(map(len, no_items.values()))
+    cost = lambda sizes: sum(s * s for s in sizes) / 1000**2
+    assert all(cost(s) <= packing.ATTENTION_SHARE + 1e-9 or len(s) == 1 for s in both.values())
+    assert any(cost(s) > packing.ATTENTION_SHARE and len(s) > 1 for s in no_attention.values())
+    assert len({tuple(sorted(map(tuple, map(sorted, h.values())))) for h in (both, no_items, no_attention)}) == 3
+    # the number of shards follows the number of items, too
+    tiny = [(i, "x", "train", "enwiki") for i in range(500)]
+    shards = {f["container"].split("-")[1] for f in packing.pack_texts(wiki(spark, tiny), sizes, shard_containers=2).collect()}
+    assert len(shards) == 8
+
+
 def test_mix_reaches_its_shares(spark):
     r = random.Random(5)
     sources = ["big"] * 60 + ["mid"] * 25 + ["small"] * 10 + ["stray"] * 5
