@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.shingles import mix
 from corpusmill.runtime import spread
 
 #: Characters of text turned into arrays at once.
@@ -92,56 +93,78 @@ def salted_pairs(left: DataFrame, right: DataFrame, salts: int = HOT_SALTS) -> D
     return left.withColumn("salt", every).join(right.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int")), ["key", "salt"]).drop("key", "salt")
 
 
-def slot_loads(rows: DataFrame, key_col: str, text_col: str, slots_of: Callable[[list[str | None]], tuple[np.ndarray, int, int]], slots: int) -> tuple[np.ndarray, int, int]:
-    """Sums over all texts of what ``slots_of`` counts, and the numbers of texts and of records it expects.
+#: Registers of the counter of one slot, and of that of all texts.
+REGISTERS, TEXT_REGISTERS = 32, 1 << 14
 
-    Copies in a task count once, so that a text delivered very often does not
-    make its shingles look frequent.  Each task sends its counters once; the
-    result is a fixed number of counters, whatever the number of texts.
+
+def observe(registers: np.ndarray, counter: np.ndarray, names: np.ndarray, per_counter: int) -> None:
+    """Enter names into counters that tell how many different names each has seen, however often and wherever it has seen them."""
+    hashes = mix(names ^ mix(counter.astype(np.uint64) + np.uint64(0x51ED27)))
+    place = counter * per_counter + (hashes & np.uint64(per_counter - 1)).astype(np.int64)
+    # the place of the first set bit of what is left of the hash
+    rest = (hashes >> np.uint64(per_counter.bit_length() - 1)).astype(np.float64)
+    rank = 65 - per_counter.bit_length() + 1 - np.frexp(rest)[1]
+    np.maximum.at(registers, place, rank.astype(np.uint8))
+
+
+def estimates(registers: np.ndarray, per_counter: int) -> np.ndarray:
+    """The number of different names of each counter."""
+    rows = registers.reshape(-1, per_counter).astype(np.float64)
+    raw = 0.7213 / (1 + 1.079 / per_counter) * per_counter**2 / (2.0**-rows).sum(1)
+    empty = (rows == 0).sum(1)
+    return np.where((raw <= 2.5 * per_counter) & (empty > 0), per_counter * np.log(per_counter / np.maximum(empty, 1)), raw)
+
+
+def slot_loads(rows: DataFrame, key_col: str, text_col: str, slots_of: Callable[[list[str | None]], tuple], slots: int) -> tuple[np.ndarray, int, int]:
+    """In how many different texts each slot occurs, about how many texts there are, and how many records are expected.
+
+    ``slots_of`` gives the slots of some texts, the text each belongs to, which
+    texts count, and the expected records.  All texts are counted, by counters
+    that a copy cannot change: the result depends on the set of texts alone and
+    not on their layout.  Each task sends its counters once; they are of fixed
+    size, whatever the number of texts.
     """
     pieces = 64
-    width = slots // pieces
+    sizes = slots // pieces * REGISTERS
 
     def count(batches):
-        load, texts, expected = np.zeros(slots, np.int64), 0, 0
+        held, texts, expected = np.zeros(slots * REGISTERS, np.uint8), np.zeros(TEXT_REGISTERS, np.uint8), 0
         seen: set[int] = set()
         for batch in batches:
-            fresh = first_of(batch.column(0).to_pylist(), seen)
+            keys = batch.column(0).to_pylist()
+            fresh = first_of(keys, seen)
             column = batch.column(1).take(pa.array(fresh, pa.int64())).to_pylist()
+            names = np.array([keys[i] for i in fresh], np.int64).view(np.uint64)
             for a, b in text_chunks(column):
-                got, n, m = slots_of(column[a:b])
-                load += np.bincount(got, minlength=slots)
-                texts += n
-                expected += m
+                got, owner, counted, records = slots_of(column[a:b])
+                observe(held, got, names[a:b][owner], REGISTERS)
+                observe(texts, np.zeros(int(counted.sum()), np.int64), names[a:b][counted], TEXT_REGISTERS)
+                expected += records
+        parts = [held[i * sizes : (i + 1) * sizes].tobytes() for i in range(pieces)] + [texts.tobytes()]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(pieces), pa.int32()),
-                pa.array([load[i * width : (i + 1) * width].tobytes() for i in range(pieces)], pa.binary()),
-                pa.array([texts] + [0] * (pieces - 1), pa.int64()),
-                pa.array([expected] + [0] * (pieces - 1), pa.int64()),
-            ],
-            names=["piece", "load", "texts", "expected"],
+            [pa.array(range(pieces + 1), pa.int32()), pa.array(parts, pa.binary()), pa.array([expected] + [0] * pieces, pa.int64())], names=["piece", "held", "expected"]
         )
 
-    def add(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, texts, expected, piece = np.zeros(width, np.int64), 0, 0, None
+    def merge(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, expected, piece = None, 0, None
         for batch in group:
             for i in range(batch.num_rows):
                 piece = batch.column("piece")[i].as_py()
-                total += np.frombuffer(batch.column("load")[i].as_py(), np.int64)
-            texts += sum(batch.column("texts").to_pylist())
+                part = np.frombuffer(batch.column("held")[i].as_py(), np.uint8)
+                total = part.copy() if total is None else np.maximum(total, part)
             expected += sum(batch.column("expected").to_pylist())
+        per = TEXT_REGISTERS if piece == pieces else REGISTERS
+        loads = np.round(estimates(total, per)).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([piece], pa.int32()), pa.array([total.tobytes()], pa.binary()), pa.array([texts], pa.int64()), pa.array([expected], pa.int64())],
-            names=["piece", "load", "texts", "expected"],
+            [pa.array([piece], pa.int32()), pa.array([loads.tobytes()], pa.binary()), pa.array([expected], pa.int64())], names=["piece", "held", "expected"]
         )
 
-    schema = "piece int, load binary, texts bigint, expected bigint"
-    sums = spread(rows.select(key_col, text_col)).mapInArrow(count, schema).groupBy("piece").applyInArrow(add, schema).collect()
-    load = np.zeros(slots, np.int64)
-    for row in sums:
-        load[row["piece"] * width : (row["piece"] + 1) * width] = np.frombuffer(bytes(row["load"]), np.int64)
-    return load, sum(r["texts"] for r in sums), sum(r["expected"] for r in sums)
+    schema = "piece int, held binary, expected bigint"
+    sums = spread(rows.select(key_col, text_col)).mapInArrow(count, schema).groupBy("piece").applyInArrow(merge, schema).collect()
+    loads = {r["piece"]: np.frombuffer(bytes(r["held"]), np.int64) for r in sums}
+    if not loads:
+        return np.zeros(slots, np.int64), 0, 0
+    return np.concatenate([loads[i] for i in range(pieces)]), int(loads[pieces][0]), sum(r["expected"] for r in sums)
 
 
 def first_of(keys: list[int], seen: set[int]) -> list[int]:

@@ -43,7 +43,7 @@ def frequent_shingles(texts: DataFrame, width: int, min_words: int) -> tuple[np.
         sets = np.bincount(owner, minlength=len(part))[long]
         per_group = partenum.PARTS if partenum.MISSING else 1
         groups = np.minimum(partenum.GROUPS, sets / (partenum.PARTS * partenum.FILL_SMALL) + 1)
-        return partenum.slot(hashes[long[owner]]), int(long.sum()), int(2 * per_group * groups.sum())
+        return partenum.slot(hashes[long[owner]]), owner[long[owner]], long, int(2 * per_group * groups.sum())
 
     load, count, expected = blocks.slot_loads(texts, "text_class", "text", slots_of, partenum.SLOTS)
     return load >= max(2.0, partenum.FREQUENT_SHARE * count), max(1, -(-expected // blocks.BUCKET_RECORDS))

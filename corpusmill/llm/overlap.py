@@ -2,9 +2,10 @@
 
 Evaluation texts are the queries: each is cut into segments and joined with the
 windows of the training texts.  Candidates share enough segments at any place,
-since whole paragraphs may have moved; they are verified by the exact likeness
-of their shingle sets, and a banded word edit distance tells edited texts from
-rearranged ones.  Equal texts of any length meet by their key.
+since whole paragraphs may have moved.  They are verified by dynamic
+programming in a band: few enough edits prove the likeness.  Only where there
+are more, as in rearranged texts, the likeness of the shingle sets decides.
+Equal texts of any length meet by their key.
 """
 
 from __future__ import annotations
@@ -15,13 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.llm import blocks, segments
 from corpusmill.llm.columns import not_blank, tidy
-from corpusmill.llm.near import MIN_WORDS, THRESHOLD, WIDTH, verified
+from corpusmill.llm.near import MIN_WORDS, THRESHOLD, WIDTH
 from corpusmill.llm.partenum import FREQUENT_SHARE, SLOTS, slot
-from corpusmill.llm.shingles import word_hashes
+from corpusmill.llm.shingles import shingle_hashes, word_hashes
 from corpusmill.runtime import checkpointed, small_side, spread
 
 TRAINING, EVALUATION = "train", ("validation", "test")
@@ -29,8 +29,6 @@ TRAINING, EVALUATION = "train", ("validation", "test")
 _META = 17
 #: Candidate pairs of an evaluation and a training text handled at once.
 _PAIR_BLOCK = 1 << 20
-#: Word edits that the banded distance looks for, as a share of the longer text.
-EDIT_SHARE = 1 / 6
 
 
 def split_texts(pages: DataFrame) -> DataFrame:
@@ -53,7 +51,7 @@ def segment_candidates(texts: DataFrame, threshold: float, min_words: int, hot_m
 
     def slots_of(part):
         values, ends, words = segments.windows(part)
-        return slot(values), int((words >= min_words).sum()), int((words[words >= min_words] // 2).sum())
+        return slot(values), np.repeat(np.arange(len(part)), np.diff(ends)), words >= min_words, int((words[words >= min_words] // 2).sum())
 
     load, count, expected = blocks.slot_loads(texts, "text_class", "text", slots_of, SLOTS)
     loads, frequent = load.astype(np.int64), max(2, int(FREQUENT_SHARE * count))
@@ -136,44 +134,82 @@ def _meet(records: np.ndarray, hot_members: int = blocks.HOT_MEMBERS):
         start = end
 
 
+def edit_bound(shingles: int, threshold: float, width: int) -> int:
+    """The most word edits after which a set of so many shingles is still alike to the threshold.
+
+    An edit takes at most ``width`` shingles out of the set and brings as many
+    in, so ``d`` edits leave a likeness of at least
+    ``(shingles - width * d) / (shingles + width * d)``.
+    """
+    return int(shingles * (1 - threshold) / (1 + threshold) / width + 1e-9)
+
+
+def worded(texts: DataFrame) -> DataFrame:
+    """Rows ``(text_class, words)``: the word hashes of each text in order."""
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(1).to_pylist()
+            for a, b in blocks.text_chunks(column):
+                words, ends = word_hashes(column[a:b])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(words.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["text_class", "words"])
+
+    return texts.select("text_class", "text").mapInArrow(run, "text_class bigint, words array<bigint>")
+
+
+def judge_pair(left: np.ndarray, right: np.ndarray, threshold: float, width: int) -> tuple[float, int | None] | None:
+    """Likeness and word edits of two word strings if they are alike to the threshold; no edits if they are too many to count."""
+    sets = [np.unique(shingle_hashes(words, np.array([0, len(words)]), width)[0]) for words in (left, right)]
+    distance = segments.word_distance(left, right, edit_bound(min(map(len, sets)), threshold, width))
+    common = len(np.intersect1d(*sets, assume_unique=True))
+    likeness = common / max(1, len(sets[0]) + len(sets[1]) - common)
+    return (likeness, distance) if distance is not None or likeness >= threshold else None
+
+
 def overlap_classes(
     texts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS, hot_members: int = blocks.HOT_MEMBERS
 ) -> DataFrame:
-    """Rows ``(a, b, likeness)``: evaluation class ``a`` and training class ``b`` of different but similar texts."""
-    found = segment_candidates(texts, threshold, min_words, hot_members)
-    return verified(found, texts, threshold, width, min_words)
+    """Rows ``(a, b, likeness, distance)``: evaluation class ``a`` and training class ``b`` of different but similar texts.
 
-
-def with_distance(pairs: DataFrame, texts: DataFrame, share: float = EDIT_SHARE) -> DataFrame:
-    """The pairs with ``distance``: their edit distance in words, null if above ``share`` of the longer text."""
+    ``distance`` counts the word edits between them where these alone prove the
+    likeness, and is null where the shingle sets do.
+    """
+    pairs = segment_candidates(texts, threshold, min_words, hot_members)
     involved = pairs.select(F.explode(F.array("a", "b")).alias("text_class")).distinct()
     involved = small_side(involved, involved.count())
-    held = texts.join(involved, "text_class", "left_semi").dropDuplicates(["text_class"])
-    joined = pairs.join(held.select(F.col("text_class").alias("a"), F.col("text").alias("left")), "a").join(
-        held.select(F.col("text_class").alias("b"), F.col("text").alias("right")), "b"
+    held = worded(texts.join(involved, "text_class", "left_semi").dropDuplicates(["text_class"])).where(F.size("words") >= min_words)
+    joined = pairs.join(held.select(F.col("text_class").alias("a"), F.col("words").alias("left")), "a").join(
+        held.select(F.col("text_class").alias("b"), F.col("words").alias("right")), "b"
     )
-    names = pairs.columns
 
     def run(batches):
         for batch in batches:
-            values = []
-            for left, right in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()):
-                words, ends = word_hashes([left, right])
-                x, y = words[: ends[1]], words[ends[1] :]
-                values.append(segments.word_distance(x, y, max(1, int(max(len(x), len(y)) * share))))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(values, pa.int64())], names=[*names, "distance"])
-
-    return joined.select(*names, "left", "right").mapInArrow(run, T.StructType([*pairs.schema.fields, T.StructField("distance", T.LongType())]))
+            sides = []
+            for side in (2, 3):
+                lists = batch.column(side)
+                values, ends = lists.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+                sides.append([values[a:b] for a, b in zip(ends[:-1], ends[1:])])
+            found = [judge_pair(left, right, threshold, width) for left, right in zip(*sides)]
+            kept = pa.array([i for i, f in enumerate(found) if f], pa.int64())
+            likeness, distance = zip(*filter(None, found)) if len(kept) else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(kept), batch.column(1).take(kept), pa.array(likeness, pa.float64()), pa.array(distance, pa.int64())],
+                names=["a", "b", "likeness", "distance"],
+            )
+
+    return joined.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint, likeness double, distance bigint")
 
 
 def class_overlaps(texts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
     """Rows ``(a, b, likeness, distance, kind)``: all pairs of an evaluation and a training class that overlap.
 
-    ``kind`` is ``same`` for equal texts, ``edited`` where the words differ by
-    few edits in their places, and ``moved`` where parts stand elsewhere.
+    ``kind`` is ``same`` for equal texts, ``edited`` where few word edits lead
+    from one to the other, and ``moved`` where parts stand elsewhere.  Copies
+    are not expanded; ``split_texts`` tells the pages of a class.
     """
-    similar = checkpointed(overlap_classes(texts, threshold, width, min_words))
-    near = with_distance(similar, texts).withColumn("kind", F.when(F.col("distance").isNotNull(), "edited").otherwise("moved"))
+    similar = overlap_classes(texts, threshold, width, min_words)
+    near = similar.withColumn("kind", F.when(F.col("distance").isNotNull(), "edited").otherwise("moved"))
     roles = texts.groupBy("text_class").agg(F.max(F.col("split") == TRAINING).alias("trains"), F.max(F.col("split") != TRAINING).alias("asks"))
     same = roles.where("trains and asks").select(
         F.col("text_class").alias("a"),
@@ -216,21 +252,19 @@ def _members(texts: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def overlap_report(pages: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
-    """Rows ``(split, wiki, pages, same_pages, near_pages, overlapping_pages)`` of each evaluation split and edition.
+    """Rows ``(split, wiki, pages, same_pages, edited_pages, moved_pages, overlapping_pages)`` of each evaluation split and edition.
 
     Pages are counted once for each edition and split they are in; a page can
-    overlap by an equal and by a similar text.
+    overlap in several ways, see ``class_overlaps``.
     """
     texts = split_texts(pages)
     pairs = checkpointed(class_overlaps(texts, threshold, width, min_words))
-    hit = pairs.groupBy(F.col("a").alias("text_class")).agg(F.max(F.col("kind") == "same").alias("same"), F.max(F.col("kind") != "same").alias("near"))
+    kinds = ("same", "edited", "moved")
+    hit = pairs.groupBy(F.col("a").alias("text_class")).agg(*(F.max(F.col("kind") == k).alias(k) for k in kinds))
     asked = texts.where(F.col("split") != TRAINING).select("page_id", "split", "wiki", "text_class").distinct()
-    per_page = asked.join(hit, "text_class", "left").groupBy("split", "wiki", "page_id").agg(
-        F.coalesce(F.max("same"), F.lit(False)).alias("same"), F.coalesce(F.max("near"), F.lit(False)).alias("near")
-    )
+    per_page = asked.join(hit, "text_class", "left").groupBy("split", "wiki", "page_id").agg(*(F.coalesce(F.max(k), F.lit(False)).alias(k) for k in kinds))
     return per_page.groupBy("split", "wiki").agg(
         F.count(F.lit(1)).alias("pages"),
-        F.count_if("same").alias("same_pages"),
-        F.count_if("near").alias("near_pages"),
-        F.count_if(F.col("same") | F.col("near")).alias("overlapping_pages"),
+        *(F.count_if(k).alias(f"{k}_pages") for k in kinds),
+        F.count_if(F.col("same") | F.col("edited") | F.col("moved")).alias("overlapping_pages"),
     )

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from corpusmill.llm import encodings, garbled, near, partenum, quality, segments
+from corpusmill.llm import blocks, encodings, garbled, near, overlap, partenum, quality, segments
 from corpusmill.llm.partenum import SLOTS, slot
 
 
@@ -159,3 +159,51 @@ def test_planted_cases_are_restored():
                     made += 1
                     whole += mender.examine(broken, True) == (True, text.encode(write, "ignore").decode(write))
     assert made > 400 and whole >= 0.98 * made
+
+
+def test_counters_and_candidates_do_not_depend_on_the_layout(spark):
+    r = random.Random(12)
+    base = [" ".join(f"w{r.randrange(3000)}" for _ in range(60)) for _ in range(150)]
+    texts = base + [t + " tail end" for t in base[:50]] + base[:10] * 40
+    r.shuffle(texts)
+    pages = spark.createDataFrame([(i, t, r.choice(["train", "test"]), "enwiki") for i, t in enumerate(texts)], "page_id bigint, text string, split string, wiki string")
+    seen = []
+    for parts in (1, 7, 64):
+        keyed = near.keyed_texts(pages.repartition(parts))
+        marks, _ = near.frequent_shingles(keyed, 3, 20)
+        pairs = {(p["a"], p["b"]) for p in near.candidate_pairs(keyed, 0.6, 3, 20).collect()}
+        crossed = {(p["a"], p["b"]) for p in overlap.segment_candidates(overlap.split_texts(pages.repartition(parts)), 0.6, 20).collect()}
+        seen.append((marks.tobytes(), pairs, crossed))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0][1]) >= 50 and seen[0][2]
+
+
+def test_counters_tell_different_names_apart():
+    names = np.arange(1, 5001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    one, twice = np.zeros(blocks.TEXT_REGISTERS, np.uint8), np.zeros(blocks.TEXT_REGISTERS, np.uint8)
+    blocks.observe(one, np.zeros(5000, np.int64), names, blocks.TEXT_REGISTERS)
+    for part in (names[2500:], names, names[:100]):
+        blocks.observe(twice, np.zeros(len(part), np.int64), part, blocks.TEXT_REGISTERS)
+    assert (one == twice).all() and abs(blocks.estimates(one, blocks.TEXT_REGISTERS)[0] - 5000) < 150
+
+
+@pytest.mark.parametrize("size", [20, 60, 400])
+def test_few_edits_prove_the_likeness(size):
+    r = random.Random(size)
+    for _ in range(60):
+        words = np.array(r.choices(range(r.choice([5, 50, 10**6])), k=size), np.uint64)
+        other = words.tolist()
+        for _ in range(r.randrange(0, size // 6)):
+            place = r.randrange(len(other))
+            if (kind := r.randrange(3)) == 0:
+                other[place] = r.randrange(10**7, 10**8)
+            elif kind == 1:
+                del other[place]
+            else:
+                other.insert(place, r.randrange(10**7, 10**8))
+        right = np.array(other, np.uint64)
+        sets = [{tuple(x[i : i + 3].tolist()) for i in range(len(x) - 2)} for x in (words, right)]
+        likeness = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        found = overlap.judge_pair(words, right, 0.6, 3)
+        assert (found is not None) == (likeness >= 0.6) and (found is None or found[0] == pytest.approx(likeness))
+    moved = np.arange(200, dtype=np.uint64)
+    assert overlap.judge_pair(moved, np.concatenate([moved[90:], moved[:90]]), 0.6, 3)[1] is None
