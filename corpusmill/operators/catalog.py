@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusmill.functions import columns as C
+from corpusmill.operators.packing import with_neighbours
 
 
 def parse_index_lines(lines: DataFrame) -> DataFrame:
@@ -29,8 +30,9 @@ def segment_ranges(index: DataFrame, dump_size: int | None = None) -> DataFrame:
 
     Lines with the same offset form a segment; it ends before the next one and
     the last at the end of the dump (null where its size is not given).
-    Repeated lines and lines with nulls are left out.  Segments, not pages,
-    are ordered globally, and a segment holds a bounded number of pages.
+    Repeated lines and lines with nulls are left out.  Starts alone are
+    ordered, in two phases; the page lists, each of a bounded number of pages,
+    stay in their groups.
     """
     lines = index.select("byte_offset", "page_id").where("byte_offset is not null and page_id is not null").distinct()
     segments = lines.groupBy(F.col("byte_offset").alias("start")).agg(
@@ -38,15 +40,10 @@ def segment_ranges(index: DataFrame, dump_size: int | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("pages"),
         F.array_sort(F.collect_list("page_id")).alias("page_ids"),
     )
-    order = W.orderBy("start")
-    return segments.select(
-        (F.row_number().over(order) - 1).alias("ordinal"),
-        "start",
-        F.coalesce(F.lead("start").over(order) - 1, F.lit(None if dump_size is None else dump_size - 1).cast("bigint")).alias("end"),
-        "first_page_id",
-        "pages",
-        C.id_list_hash(F.col("page_ids")).alias("page_ids_sha256"),
-        "page_ids",
+    starts = with_neighbours(lines.select(F.col("byte_offset").alias("start")).distinct(), "start", "start")
+    end = F.coalesce(F.col("after") - 1, F.lit(None if dump_size is None else dump_size - 1).cast("bigint"))
+    return segments.join(starts.select("start", F.col("place").cast("int").alias("ordinal"), end.alias("end")), "start").select(
+        "ordinal", "start", "end", "first_page_id", "pages", C.id_list_hash(F.col("page_ids")).alias("page_ids_sha256"), "page_ids"
     )
 
 
@@ -85,15 +82,15 @@ RANGE_PAGES = 65536
 def range_problems(ranges: DataFrame, dump_size: int | None = None) -> DataFrame:
     """Rows ``(ordinal, problem)``: ``empty`` ranges, ``gap`` to the one before, numbers that are not ``dense``, and a wrong last end.
 
-    Segments are far fewer than pages; their order is taken in one window.
+    The order of the segments is taken in two phases.
     """
-    order = W.orderBy("ordinal")
-    rows = ranges.select(
+    placed = with_neighbours(ranges.select("ordinal", F.struct("ordinal", "start", "end").alias("range")), "ordinal", "range")
+    rows = placed.select(
         "ordinal",
-        (F.col("end") < F.col("start")).alias("empty"),
-        (F.col("start") != F.lag("end").over(order) + 1).alias("gap"),
-        (F.col("ordinal") != F.row_number().over(order) - 1).alias("dense"),
-        (F.lead("ordinal").over(order).isNull() & (F.col("end") != F.lit(dump_size).cast("bigint") - 1)).alias("last"),
+        (F.col("range.end") < F.col("range.start")).alias("empty"),
+        (F.col("range.start") != F.col("before.end") + 1).alias("gap"),
+        (F.col("ordinal") != F.col("place")).alias("dense"),
+        (F.col("after").isNull() & (F.col("range.end") != F.lit(dump_size).cast("bigint") - 1)).alias("last"),
     )
     found = F.filter(
         F.array(*(F.when(F.col(n), F.lit(m)) for n, m in (("empty", "empty"), ("gap", "gap"), ("dense", "not_dense"), ("last", "wrong_end")))),

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from corpusmill.runtime import spread
 from corpusmill.schemas import ATTRIBUTION_COLUMNS, DOCUMENTS
 
-#: Pages of a block of the corpus digest.
-BLOCK_PAGES = 4096
+#: Leading hexadecimal digits of a row digest that name its block in the corpus digest.
+BLOCK_DIGITS = 4
 
 
 def canonical_row(row: dict) -> bytes:
@@ -41,18 +41,17 @@ def row_digests(documents: DataFrame, columns: tuple[str, ...] = tuple(DOCUMENTS
     return spread(documents.select(names)).mapInArrow(run, "page_id bigint, revision_id bigint, row_sha256 string")
 
 
-def corpus_digest(documents: DataFrame) -> DataFrame:
-    """One row ``(blocks, rows, corpus_sha256)``: a digest of digests that depends on the rows alone.
+def corpus_digest(documents: DataFrame, columns: tuple[str, ...] = tuple(DOCUMENTS.fieldNames())) -> DataFrame:
+    """One row ``(blocks, rows, corpus_sha256)``: a digest of digests that depends on the different rows alone.
 
-    Distinct row digests are hashed in blocks of neighbouring pages, the block
-    digests in order of their block.  Blocks are hashed in parallel, and what
-    the last step orders is one digest a block.  An empty table gives the hash
-    of nothing.
+    Row digests are dealt to blocks by their first digits, so blocks are even
+    whatever the identifiers, and bounded in number; each is hashed in the
+    order of its digests, and the block digests in the order of the blocks.
+    An empty table gives the hash of nothing.
     """
-    rows = row_digests(documents).select("page_id", "row_sha256").distinct().withColumn("block", F.floor(F.coalesce("page_id", F.lit(-1)) / BLOCK_PAGES))
+    rows = row_digests(documents, columns).select("row_sha256").distinct().withColumn("block", F.substring("row_sha256", 1, BLOCK_DIGITS))
     blocks = rows.groupBy("block").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "row_sha256"))), lambda s: s["row_sha256"]), ""), 256).alias("digest"),
+        F.count(F.lit(1)).alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list("row_sha256")), ""), 256).alias("digest")
     )
     return blocks.agg(
         F.count(F.lit(1)).alias("blocks"),
@@ -61,8 +60,13 @@ def corpus_digest(documents: DataFrame) -> DataFrame:
     )
 
 
+def content_digest(documents: DataFrame, columns: tuple[str, ...] = tuple(DOCUMENTS.fieldNames())) -> str:
+    """The corpus digest over the named columns, as manifests state it."""
+    return corpus_digest(documents, columns).first()["corpus_sha256"]
+
+
 def sequential_digest(documents: DataFrame, columns: tuple[str, ...] = tuple(DOCUMENTS.fieldNames())) -> str:
-    """SHA-256 over the framed canonical rows in ascending order of pages, as manifests state it.
+    """SHA-256 over the framed canonical rows in ascending order of pages, for comparison with chains stated elsewhere.
 
     A chain over all rows cannot be split; rows come to the driver one
     partition at a time, already sorted.
@@ -74,8 +78,8 @@ def sequential_digest(documents: DataFrame, columns: tuple[str, ...] = tuple(DOC
 
 
 def attribution_digest(documents: DataFrame) -> str:
-    """The sequential digest over the attribution columns."""
-    return sequential_digest(documents, ATTRIBUTION_COLUMNS)
+    """The corpus digest over the attribution columns."""
+    return content_digest(documents, ATTRIBUTION_COLUMNS)
 
 
 def id_digest(ids) -> str:

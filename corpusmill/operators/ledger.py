@@ -85,3 +85,20 @@ def positions_against_index(pages: DataFrame, index_pages: DataFrame) -> DataFra
     seen = pages.select("ordinal", "position", "page_id", F.lit(True).alias("found"))
     differs = F.col("listed").isNull() | F.col("found").isNull() | (F.col("page_id").isNotNull() & (F.col("page_id") != F.col("expected_page_id")))
     return seen.join(expected, ["ordinal", "position"], "full").where(differs).select("ordinal", "position", "page_id", "expected_page_id")
+
+
+def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows ``(page_id, left_rows, right_rows)`` of the identifiers that the sides hold in different numbers; nulls are compared too."""
+    sides = left.select("page_id", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select("page_id", F.lit(0).alias("l"), F.lit(1).alias("r")))
+    counted = sides.groupBy("page_id").agg(F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows"))
+    return counted.where("left_rows <> right_rows")
+
+
+def ledger_against_ranges(ledger: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows ``(ordinal, pages_seen, pages)`` where the accounting of a segment and the pages the index lists for it differ.
+
+    A segment that one side lacks has null there; accounts without a segment
+    are left out.
+    """
+    seen = ledger.where("stream_ordinal is not null").select(F.col("stream_ordinal").alias("ordinal"), "pages_seen")
+    return seen.join(ranges.select("ordinal", "pages"), "ordinal", "full").where(~F.col("pages_seen").eqNullSafe(F.col("pages")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusmill.runtime import checkpointed
+from corpusmill.runtime import checkpointed, small_side
 
 
 def with_offsets(frame: DataFrame, group: str, order: list[str], size: str) -> DataFrame:
@@ -29,16 +29,43 @@ def with_offsets(frame: DataFrame, group: str, order: list[str], size: str) -> D
     )
 
 
+def with_neighbours(frame: DataFrame, key: str, value: str) -> DataFrame:
+    """The rows with ``place``, their number in the order of ``key`` from 0, and ``before`` and ``after``, the value of the rows next to them.
+
+    In two phases as ``with_offsets``: what the last step orders is one row a
+    range, whatever the number of rows.  Rows with equal keys stand in any order.
+    """
+    ranged = checkpointed(frame.repartitionByRange(key).withColumn("_range", F.spark_partition_id()))
+    ends = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"), F.min_by(value, key).alias("_first"), F.max_by(value, key).alias("_last"))
+    ranges, inside = W.orderBy("_range"), W.partitionBy("_range").orderBy(key)  # one row a range
+    around = ends.select(
+        "_range",
+        F.coalesce(F.sum("_rows").over(ranges.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
+        F.lag("_last").over(ranges).alias("_before"),
+        F.lead("_first").over(ranges).alias("_after"),
+    )
+    return (
+        ranged.join(F.broadcast(around), "_range")
+        .withColumn("place", F.col("_start") + F.row_number().over(inside) - 1)
+        .withColumn("before", F.coalesce(F.lag(value).over(inside), "_before"))
+        .withColumn("after", F.coalesce(F.lead(value).over(inside), "_after"))
+        .drop("_range", "_start", "_before", "_after")
+    )
+
+
 def packed_sequences(documents: DataFrame, length: int, per_shard: int) -> DataFrame:
     """Rows ``(split, sequence, shard, tokens)`` of full sequences of ``length`` tokens.
 
     ``documents`` has ``(split, page_id, tokens)``, the tokens of each document
-    with its end token.  Documents follow each other by page in their split;
-    what does not fill the last sequence is left out (see ``dropped_tails``).
-    A document sends one slice of its tokens to each sequence it touches.
+    with its end token, a page once in its split.  Documents follow each other
+    by page in their split; what does not fill the last sequence is left out
+    (see ``dropped_tails``).  Only sizes are ordered; their offsets go back to
+    the documents, which send one slice of their tokens to each sequence they
+    touch.
     """
-    sized = documents.select("split", "page_id", "tokens", F.size("tokens").cast("bigint").alias("size"))
-    placed = with_offsets(sized, "split", ["page_id"], "size").where("size > 0")
+    sized = documents.select("split", "page_id", F.size("tokens").cast("bigint").alias("size"))
+    offsets = with_offsets(sized, "split", ["page_id"], "size").where("size > 0")
+    placed = documents.select("split", "page_id", "tokens").join(small_side(offsets, offsets.count()), ["split", "page_id"])
     first, last = F.floor(F.col("offset") / length), F.floor((F.col("offset") + F.col("size") - 1) / length)
     cut = placed.withColumn("sequence", F.explode(F.sequence(first, last)))
     start = F.greatest(F.col("sequence") * length, F.col("offset"))

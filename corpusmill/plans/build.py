@@ -223,7 +223,7 @@ def stage(spark: SparkSession, config: BuildConfig, prepared: Prepared, ranges:
     }
     if dropped != extraction["pages_dropped"]:
         raise ValidationError("the ledger of dropped pages does not account for every page")
-    audit = {"documents_content_sha256": digests.sequential_digest(held)} | corpus_audit(held, config.near_sample)
+    audit = {"documents_content_sha256": digests.content_digest(held)} | corpus_audit(held, config.near_sample)
     write_json(staging / publish.AUDIT, audit)
     packet = review_rows(held)
     with (staging / publish.REVIEW).open("w", encoding="utf-8", newline="\n") as file:

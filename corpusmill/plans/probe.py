@@ -71,7 +71,7 @@ def run_probe(spark: SparkSession, config: ProbeConfig, client: Client | None =
             "split": asdict(config.split) | {"strategy": "page_id_sha256"},
             "extraction": extraction,
             "artifacts": {n: artifact(staging, n, r).as_dict() for n, r in records.items()},
-            "documents_content_sha256": digests.sequential_digest(held),
+            "documents_content_sha256": digests.content_digest(held),
             "tokenization": tokenization,
             "training_check": check,
         }

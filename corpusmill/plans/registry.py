@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from corpusmill.functions import columns as C
 from corpusmill.functions.markup import BOILERPLATE_HEADINGS, RESIDUE
 from corpusmill.functions.sections import without_boilerplate
 from corpusmill.operators import cascade, catalog, digests, documents, duplicates, ledger, packing, review
-from corpusmill.runtime import table
-from corpusmill.schemas import DOCUMENTS
+from corpusmill.plans import cases, tokens
+from corpusmill.runtime import checkpointed, shared_folder, table
+from corpusmill.schemas import ATTRIBUTION_COLUMNS, DOCUMENTS
+from corpusmill.sources.shards import read_shards
 from corpusmill.streaming import arrivals
 
 #: Host of the test data's articles; a corpus of the real wiki names its own.
@@ -40,16 +45,13 @@ def attribution(spark, d):
 
 
 def attribution_mismatches(spark, d):
-    """Against an attribution table whose even pages lost their licence and whose every seventh page is gone."""
+    """Documents against their attribution: none should differ."""
     rows = table(spark, d, "wiki_documents")
-    other = rows.where("page_id % 7 <> 0").withColumn("license", F.when(F.col("page_id") % 2 == 1, F.col("license")))
-    return documents.attribution_mismatches(rows, other)
+    return documents.attribution_mismatches(rows, documents.attribution(rows))
 
 
 def split_intersection(spark, d):
-    """Over the documents and a second copy of every third page in the test split."""
-    rows = table(spark, d, "wiki_documents").select("page_id", "split")
-    return documents.split_intersection(rows.union(rows.where("page_id % 3 = 0").select("page_id", F.lit("test"))))
+    return documents.split_intersection(table(spark, d, "wiki_documents").select("page_id", "split"))
 
 
 def repeated_pages(spark, d):
@@ -164,10 +166,26 @@ def segment_pages(spark, d):
 
 
 def page_positions(spark, d):
-    """The pages of each segment against the index, after every eleventh lost its identifier, every 13th has another and every 17th is gone."""
-    listed = segment_pages(spark, d)
-    page = F.when(F.col("page_id") % 11 != 0, F.when(F.col("page_id") % 13 == 0, F.col("page_id") + 1).otherwise(F.col("page_id")))
-    return ledger.positions_against_index(listed.where("page_id % 17 <> 0").withColumn("page_id", page), listed)
+    """The decided pages of each segment in their order against those the index lists."""
+    decided = table(spark, d, "page_decisions").where("page_id is not null and stream_ordinal is not null").select(F.col("stream_ordinal").alias("ordinal"), "page_id").distinct()
+    listed = decided.groupBy("ordinal").agg(F.array_sort(F.collect_list("page_id")).alias("pages"))
+    return ledger.positions_against_index(listed.select("ordinal", F.posexplode("pages").alias("position", "page_id")), segment_pages(spark, d))
+
+
+def ledger_against_ranges(spark, d):
+    """The accounting of the decisions against the segments of the index."""
+    return ledger.ledger_against_ranges(accounting(spark, d), catalog.segment_ranges(table(spark, d, "segment_index")))
+
+
+def decision_multiset(spark, d):
+    """Pages that decisions and index lines hold in different numbers."""
+    return ledger.multiset_difference(table(spark, d, "page_decisions"), table(spark, d, "segment_index"))
+
+
+def documents_in_order(spark, d):
+    """The place of each page in the order of identifiers, and the page before it."""
+    pages = table(spark, d, "wiki_documents").where("page_id is not null").select("page_id").distinct()
+    return packing.with_neighbours(pages, "page_id", "page_id").select("page_id", "place", "before")
 
 
 def dropped_lines(spark, d):
@@ -176,9 +194,16 @@ def dropped_lines(spark, d):
     return dropped.select(F.to_json(F.struct("page_id", "reason", "title"), {"ignoreNullFields": "false"}).alias("line"))
 
 
+def dropped_scan(spark, d):
+    """The ledger of dropped pages written as JSON lines and read again."""
+    folder = f"{shared_folder(spark)}/dropped-{uuid.uuid4().hex}"
+    dropped_lines(spark, d).write.text(folder)
+    return spark.read.schema("page_id bigint, reason string, title string").option("mode", "FAILFAST").json(folder)
+
+
 def index_lines(spark, d):
-    """The index written as text lines and parsed again."""
-    rows = table(spark, d, "segment_index").where("title is not null")
+    """The index written as text lines and parsed again; a line without a title has two fields."""
+    rows = table(spark, d, "segment_index")
     lines = rows.select(F.concat_ws(":", F.col("byte_offset").cast("string"), F.col("page_id").cast("string"), F.col("title")).alias("value"))
     return catalog.parse_index_lines(lines).drop("line")
 
@@ -188,16 +213,13 @@ def index_problems(spark, d):
 
 
 def range_problems(spark, d):
-    """Of the ranges with every fifth segment left out."""
-    ranges = catalog.segment_ranges(table(spark, d, "segment_index"))
-    return catalog.range_problems(ranges.where("ordinal % 5 <> 3"))
+    return catalog.range_problems(catalog.segment_ranges(table(spark, d, "segment_index")))
 
 
 def remaining_segments(spark, d):
     """Segments of the index of which no page is decided."""
     ranges = catalog.segment_ranges(table(spark, d, "segment_index")).select("ordinal", "first_page_id", "pages")
-    committed = table(spark, d, "page_decisions").select((F.col("stream_ordinal") * 2).alias("ordinal"))
-    return catalog.remaining_segments(ranges, committed)
+    return catalog.remaining_segments(ranges, table(spark, d, "page_decisions").select(F.col("stream_ordinal").alias("ordinal")))
 
 
 def residual_markup(spark, d):
@@ -241,6 +263,10 @@ def corpus_digest(spark, d):
     return digests.corpus_digest(table(spark, d, "wiki_documents"))
 
 
+def attribution_digest(spark, d):
+    return digests.corpus_digest(table(spark, d, "wiki_documents"), ATTRIBUTION_COLUMNS)
+
+
 def token_documents(spark, d):
     """Each page's lower-cased words with an end token, by split; null texts and pages in no split are left out."""
     rows = table(spark, d, "wiki_documents").select("page_id", C.tidy(F.col("split")).alias("split"), "text")
@@ -258,6 +284,29 @@ def token_shards(spark, d):
     return packing.shard_sizes(token_documents(spark, d), LENGTH, PER_SHARD)
 
 
+def _written_shards(spark, d):
+    """Shards of word lengths, the end token being 0, written to the shared folder; their summary and the folder."""
+    rows = token_documents(spark, d)
+    sized = rows.withColumn("tokens", F.transform("tokens", lambda t: F.when(t == END, 0).otherwise(F.length(t)).cast("bigint")))
+    folder = Path(shared_folder(spark).removeprefix("file://").removeprefix("file:")) / f"shards-{uuid.uuid4().hex}"
+    folder.mkdir(parents=True)
+    return checkpointed(tokens.write_sequences(packing.packed_sequences(sized, LENGTH, PER_SHARD), folder, "uint16-le")), folder
+
+
+def shard_files(spark, d):
+    """Shards of the packed sequences after they are written: sequences and largest token."""
+    return _written_shards(spark, d)[0]
+
+
+def shard_scan(spark, d):
+    """The sequences of written shards, read again."""
+    _, folder = _written_shards(spark, d)
+    name = F.regexp_extract("path", r"([a-z]+)-([0-9]+)\.bin$", 1)
+    shard = F.regexp_extract("path", r"([a-z]+)-([0-9]+)\.bin$", 2).cast("bigint")
+    rows = read_shards(spark, f"file://{folder}", "uint16-le", LENGTH)
+    return rows.select(name.alias("split"), shard.alias("shard"), "sequence", F.sha2(F.array_join("tokens", " "), 256).alias("tokens_sha256"))
+
+
 def dropped_tails(spark, d):
     return packing.dropped_tails(token_documents(spark, d), LENGTH)
 
@@ -282,11 +331,12 @@ def queries():
         repeated_pages, exact_duplicate_groups, cross_split_groups, exact_audit, near_sample, simhash, near_pairs, near_audit,
         review_strata, review_candidates, review_problems, review_labels, review_reviewers, structural_drops, dropped_lines, drop_cascade,
         extracted_documents, extraction_reasons, drop_counts, accounting, decision_problems, decisions_against_index,
-        decisions_against_documents, page_decisions, segment_ranges, segment_pages, page_positions, index_lines, index_problems, range_problems,
+        decisions_against_documents, page_decisions, segment_ranges, segment_pages, page_positions,
+        ledger_against_ranges, decision_multiset, documents_in_order, dropped_scan, attribution_digest, shard_files, shard_scan, index_lines, index_problems, range_problems,
         remaining_segments, residual_markup, residue_report, section_skip, collapsed_text, composed_text, row_digests, corpus_digest,
         token_pack, token_shards, dropped_tails, bigram_loss, latest_revisions, snapshot_arrivals,
     )
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | cases.queries()
 
 
 _U64 = "('0x' || substr(sha256({}), 1, 16))::UBIGINT"
@@ -340,7 +390,11 @@ _TOKENS = rf"""
     totals AS (SELECT split, sum(len(tokens))::BIGINT AS tokens FROM docs GROUP BY split)"""
 
 
-_ROW = f"to_json({{{', '.join(f"'{c}': {c}" for c in sorted(DOCUMENTS.fieldNames()))}}})::VARCHAR"
+def _json_row(columns) -> str:
+    return f"to_json({{{', '.join(f"'{c}': {c}" for c in sorted(columns))}}})::VARCHAR"
+
+
+_ROW = _json_row(DOCUMENTS.fieldNames())
 
 
 def _residue_sql() -> str:
@@ -355,7 +409,7 @@ def oracle_sql():
     reasons = "(VALUES ('empty_text'), ('insufficient_text'), ('invalid_page'), ('markup_residue'), ('non_article_namespace'), ('redirect')) r(reason)"
     page, space, revision = (_INT.format(c) for c in ("id", "ns", "revision.id"))
     blank = "coalesce(trim({}), '') = ''"
-    return {
+    return cases.oracle_sql() | {
         "split_assignment": f"SELECT DISTINCT page_id, {_SPLIT} AS split FROM wiki_documents WHERE page_id IS NOT NULL",
         "split_summary": f"SELECT split, count(*) AS pages FROM (SELECT DISTINCT page_id, {_SPLIT} AS split FROM wiki_documents WHERE page_id IS NOT NULL) GROUP BY split",
         "text_fingerprint": rf"""SELECT page_id, revision_id, sha256(text) AS computed_sha256, lower(text_sha256) = sha256(text) AS hash_holds,
@@ -364,11 +418,10 @@ def oracle_sql():
             CASE WHEN regexp_matches(wiki, '^.+wiki$') THEN 'https://' || left(wiki, -4) || '.{SITE}/?curid=' || page_id END AS url FROM wiki_documents)""",
         "attribution": f"SELECT DISTINCT {attributed} FROM wiki_documents",
         "attribution_mismatches": f"""WITH l AS (SELECT DISTINCT {attributed} FROM wiki_documents),
-            r AS (SELECT DISTINCT {attributed.replace('license', 'CASE WHEN page_id % 2 = 1 THEN license END AS license')} FROM wiki_documents WHERE page_id % 7 <> 0)
+            r AS (SELECT DISTINCT {attributed} FROM wiki_documents)
             SELECT page_id, 'documents' AS side FROM (SELECT * FROM l EXCEPT SELECT * FROM r)
             UNION ALL SELECT page_id, 'attribution' AS side FROM (SELECT * FROM r EXCEPT SELECT * FROM l)""",
-        "split_intersection": f"""SELECT page_id, count(DISTINCT split) AS splits FROM (SELECT page_id, {_TIDY.format('split')} AS split FROM wiki_documents
-            UNION ALL SELECT page_id, 'test' FROM wiki_documents WHERE page_id % 3 = 0) WHERE page_id IS NOT NULL GROUP BY page_id HAVING count(DISTINCT split) > 1""",
+        "split_intersection": f"""SELECT page_id, count(DISTINCT split) AS splits FROM (SELECT page_id, {_TIDY.format('split')} AS split FROM wiki_documents) WHERE page_id IS NOT NULL GROUP BY page_id HAVING count(DISTINCT split) > 1""",
         "repeated_pages": "SELECT page_id, count(*) AS copies FROM wiki_documents WHERE page_id IS NOT NULL GROUP BY page_id HAVING count(*) > 1",
         "exact_duplicate_groups": f"WITH {_GROUPS} SELECT text_sha256, first_page_id, documents, array_to_string(splits, ',') AS splits FROM grouped",
         "cross_split_groups": f"""WITH {_GROUPS} SELECT first_page_id, documents, array_to_string(splits, ',') AS splits, text_sha256 FROM grouped
@@ -416,10 +469,30 @@ def oracle_sql():
             WHEN regexp_matches(lower(coalesce(revision.text, '')), '^\\s*#redirect') THEN 'redirect' END AS reason FROM dump_pages) WHERE reason IS NOT NULL""",
         "page_positions": f"""WITH {_SEGMENTS}, listed AS (SELECT ordinal, (row_number() OVER (PARTITION BY byte_offset ORDER BY page_id) - 1)::INT AS position, page_id
               FROM lines JOIN ranges ON start = byte_offset),
-            seen AS (SELECT ordinal, position, CASE WHEN page_id % 11 <> 0 THEN CASE WHEN page_id % 13 = 0 THEN page_id + 1 ELSE page_id END END AS page_id, true AS found
-              FROM listed WHERE page_id % 17 <> 0)
-            SELECT ordinal, position, s.page_id, l.page_id AS expected_page_id FROM listed l LEFT JOIN seen s USING (ordinal, position)
-            WHERE s.found IS NULL OR s.page_id <> l.page_id""",
+            seen AS (SELECT stream_ordinal AS ordinal, (row_number() OVER (PARTITION BY stream_ordinal ORDER BY page_id) - 1)::INT AS position, page_id, true AS found
+              FROM (SELECT DISTINCT stream_ordinal, page_id FROM page_decisions WHERE page_id IS NOT NULL AND stream_ordinal IS NOT NULL))
+            SELECT ordinal, position, s.page_id, l.page_id AS expected_page_id FROM listed l FULL JOIN seen s USING (ordinal, position)
+            WHERE s.found IS NULL OR l.page_id IS NULL OR s.page_id <> l.page_id""",
+        "ledger_against_ranges": f"""WITH {_SEGMENTS}, seen AS (SELECT stream_ordinal AS ordinal, count(*) AS pages_seen FROM (SELECT DISTINCT * FROM page_decisions)
+              WHERE stream_ordinal IS NOT NULL GROUP BY stream_ordinal)
+            SELECT ordinal, pages_seen, pages FROM seen FULL JOIN (SELECT ordinal, pages FROM ranges) USING (ordinal) WHERE pages_seen IS DISTINCT FROM pages""",
+        "decision_multiset": """WITH l AS (SELECT page_id, count(*) AS n FROM page_decisions GROUP BY page_id), r AS (SELECT page_id, count(*) AS n FROM segment_index GROUP BY page_id)
+            SELECT coalesce(l.page_id, r.page_id) AS page_id, coalesce(l.n, 0)::BIGINT AS left_rows, coalesce(r.n, 0)::BIGINT AS right_rows
+            FROM l FULL JOIN r ON l.page_id IS NOT DISTINCT FROM r.page_id WHERE coalesce(l.n, 0) <> coalesce(r.n, 0)""",
+        "documents_in_order": """SELECT page_id, (row_number() OVER (ORDER BY page_id) - 1)::BIGINT AS place, lag(page_id) OVER (ORDER BY page_id) AS before
+            FROM (SELECT DISTINCT page_id FROM wiki_documents WHERE page_id IS NOT NULL)""",
+        "dropped_scan": f"""SELECT page_id, reason, title FROM (SELECT {page} AS page_id, title, CASE
+            WHEN {page} IS NULL OR {space} IS NULL OR coalesce(title, '') = '' THEN 'invalid_page' WHEN {space} <> 0 THEN 'non_article_namespace'
+            WHEN redirect IS NOT NULL THEN 'redirect' WHEN revision IS NULL OR {revision} IS NULL THEN 'invalid_page'
+            WHEN regexp_matches(lower(coalesce(revision.text, '')), '^\\s*#redirect') THEN 'redirect' END AS reason FROM dump_pages) WHERE reason IS NOT NULL""",
+        "shard_files": f"""WITH {_TOKENS}, flat_sizes AS (SELECT split, sequence // {PER_SHARD} AS shard, sequence,
+              list_max(list_transform(tokens, lambda t: CASE WHEN t = '{END}' THEN 0 ELSE length(t) END)) AS largest FROM packed)
+            SELECT split, shard::BIGINT AS shard, count(*) AS sequences, max(largest)::BIGINT AS largest FROM flat_sizes GROUP BY split, shard""",
+        "shard_scan": f"""WITH {_TOKENS} SELECT split, (sequence // {PER_SHARD})::BIGINT AS shard, (sequence % {PER_SHARD})::BIGINT AS sequence,
+            sha256(array_to_string(list_transform(tokens, lambda t: CASE WHEN t = '{END}' THEN 0 ELSE length(t) END), ' ')) AS tokens_sha256 FROM packed""",
+        "attribution_digest": f"""WITH held AS (SELECT DISTINCT sha256({_json_row(ATTRIBUTION_COLUMNS)}) AS h FROM wiki_documents),
+            blocks AS (SELECT substr(h, 1, 4) AS block, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS digest FROM held GROUP BY 1)
+            SELECT count(*) AS blocks, sum(n)::BIGINT AS "rows", sha256(string_agg(digest, '' ORDER BY block)) AS corpus_sha256 FROM blocks""",
         "drop_counts": f"""SELECT reason, coalesce(n, 0) AS pages FROM {reasons} LEFT JOIN (SELECT reason, count(*) AS n FROM
             (SELECT DISTINCT * FROM page_decisions WHERE decision = 'dropped') GROUP BY reason) USING (reason)""",
         "accounting": """SELECT stream_ordinal, count(*) AS pages_seen, count(*) FILTER (decision = 'emitted') AS emitted, count(*) FILTER (decision = 'dropped') AS dropped,
@@ -441,7 +514,7 @@ def oracle_sql():
         "segment_ranges": f"WITH {_SEGMENTS} SELECT * FROM ranges",
         "segment_pages": f"""WITH {_SEGMENTS} SELECT ordinal, (row_number() OVER (PARTITION BY byte_offset ORDER BY page_id) - 1)::INT AS position, page_id
             FROM lines JOIN ranges ON start = byte_offset""",
-        "index_lines": "SELECT byte_offset, page_id, title FROM segment_index WHERE title IS NOT NULL",
+        "index_lines": "SELECT byte_offset, page_id, title FROM segment_index",
         "index_problems": """WITH good AS (SELECT DISTINCT byte_offset, page_id FROM segment_index WHERE byte_offset IS NOT NULL AND page_id IS NOT NULL),
             held AS (SELECT *, max(byte_offset) OVER (ORDER BY page_id RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM good),
             found AS (SELECT 'malformed' AS problem, page_id, byte_offset FROM segment_index WHERE byte_offset IS NULL OR page_id IS NULL
@@ -449,12 +522,11 @@ def oracle_sql():
               UNION ALL SELECT 'repeated', page_id, NULL FROM segment_index WHERE page_id IS NOT NULL GROUP BY page_id HAVING count(*) > 1
               UNION ALL SELECT 'backwards', page_id, byte_offset FROM held WHERE byte_offset < before)
             SELECT problem, page_id, byte_offset, count(*) AS lines FROM found GROUP BY ALL""",
-        "range_problems": f"""WITH {_SEGMENTS}, kept AS (SELECT * FROM ranges WHERE ordinal % 5 <> 3),
-            seen AS (SELECT ordinal, start, "end", lag("end") OVER (ORDER BY ordinal) AS before, row_number() OVER (ORDER BY ordinal) - 1 AS n FROM kept)
+        "range_problems": f"""WITH {_SEGMENTS}, seen AS (SELECT ordinal, start, "end", lag("end") OVER (ORDER BY ordinal) AS before, row_number() OVER (ORDER BY ordinal) - 1 AS n FROM ranges)
             SELECT ordinal, 'empty' AS problem FROM seen WHERE "end" < start UNION ALL SELECT ordinal, 'gap' FROM seen WHERE start <> before + 1
             UNION ALL SELECT ordinal, 'not_dense' FROM seen WHERE ordinal <> n""",
         "remaining_segments": f"""WITH {_SEGMENTS} SELECT ordinal, first_page_id, pages FROM ranges
-            WHERE ordinal NOT IN (SELECT stream_ordinal * 2 FROM page_decisions WHERE stream_ordinal IS NOT NULL)""",
+            WHERE ordinal NOT IN (SELECT stream_ordinal FROM page_decisions WHERE stream_ordinal IS NOT NULL)""",
         "residual_markup": f"SELECT id, array_to_string({_residue_sql()}, ',') AS kinds FROM {raw} WHERE text IS NOT NULL AND len({_residue_sql()}) > 0",
         "residue_report": f"""WITH hit AS (SELECT DISTINCT {_INT.format('id')} AS page_id, text FROM {raw} WHERE text IS NOT NULL AND len({_residue_sql()}) > 0)
             SELECT count(*) AS texts, array_to_string(list_slice(list_sort(list_distinct(list(page_id) FILTER (page_id IS NOT NULL))), 1, 20), ',') AS first_pages FROM hit""",
@@ -474,8 +546,8 @@ def oracle_sql():
             FROM wiki_documents WHERE text IS NOT NULL""",
         "composed_text": "SELECT DISTINCT page_id, sha256(nfc_normalize(text)) AS composed_sha256 FROM wiki_documents WHERE page_id IS NOT NULL AND text IS NOT NULL",
         "row_digests": f"SELECT page_id, revision_id, sha256({_ROW}) AS row_sha256 FROM wiki_documents",
-        "corpus_digest": f"""WITH held AS (SELECT DISTINCT page_id, sha256({_ROW}) AS h FROM wiki_documents),
-            blocks AS (SELECT floor(coalesce(page_id, -1) / 4096) AS block, count(*) AS n, sha256(string_agg(h, '' ORDER BY page_id NULLS FIRST, h)) AS digest FROM held GROUP BY 1)
+        "corpus_digest": f"""WITH held AS (SELECT DISTINCT sha256({_ROW}) AS h FROM wiki_documents),
+            blocks AS (SELECT substr(h, 1, 4) AS block, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS digest FROM held GROUP BY 1)
             SELECT count(*) AS blocks, sum(n)::BIGINT AS "rows", sha256(string_agg(digest, '' ORDER BY block)) AS corpus_sha256 FROM blocks""",
         "token_pack": f"WITH {_TOKENS} SELECT split, sequence, (sequence // {PER_SHARD})::BIGINT AS shard, sha256(array_to_string(tokens, ' ')) AS tokens_sha256 FROM packed",
         "token_shards": f"WITH {_TOKENS} SELECT split, (sequence // {PER_SHARD})::BIGINT AS shard, count(*) AS sequences FROM packed GROUP BY split, sequence // {PER_SHARD}",

@@ -47,24 +47,13 @@ def tokenized(documents: DataFrame, content: bytes, end: int) -> DataFrame:
     return documents.select("split", "page_id", "text").mapInArrow(run, "split string, page_id bigint, tokens array<bigint>")
 
 
-def write_shards(documents: DataFrame, tokenizer: Path, end: int, folder: Path, length: int, per_shard: int) -> dict:
-    """Write the shards of all splits under ``folder`` and return their summary.
+def write_sequences(packed: DataFrame, folder: Path, kind: str) -> DataFrame:
+    """Rows ``(split, shard, sequences, largest)`` of the shards that are written as they are computed.
 
     A shard is written by the task that holds its sequences, through a
     temporary name, so a repeated task leaves the same file.
     """
-    content = tokenizer.read_bytes()
-    size = _tokenizer(content).get_vocab_size(with_added_tokens=True)
-    if not 0 <= end < size:
-        raise ConfigError("the end token is not in the vocabulary")
-    kind = token_type(max(size - 1, end))
-    if tokenizer.resolve() != (folder / TOKENIZER).resolve():
-        shutil.copyfile(tokenizer, folder / TOKENIZER)
-    target = folder / TOKENS
-    target.mkdir()
-    rows = checkpointed(tokenized(documents, content, end))
-    tails = {r["split"]: r["dropped_tail_tokens"] for r in dropped_tails(rows, length).collect()}
-    place, width = str(target), TOKEN_TYPES[kind]
+    place, width = str(folder), TOKEN_TYPES[kind]
 
     def write(table: pa.Table) -> pa.Table:
         import os
@@ -78,8 +67,23 @@ def write_shards(documents: DataFrame, tokenizer: Path, end: int, folder: Path,
         os.replace(f"{place}/.{name}.{os.getpid()}", f"{place}/{name}")
         return pa.table({"split": [split], "shard": [shard], "sequences": [table.num_rows], "largest": [int(values.max())]})
 
-    packed = packed_sequences(rows, length, per_shard)
-    written = packed.groupBy("split", "shard").applyInArrow(write, "split string, shard bigint, sequences bigint, largest bigint")
+    return packed.groupBy("split", "shard").applyInArrow(write, "split string, shard bigint, sequences bigint, largest bigint")
+
+
+def write_shards(documents: DataFrame, tokenizer: Path, end: int, folder: Path, length: int, per_shard: int) -> dict:
+    """Write the shards of all splits under ``folder`` and return their summary."""
+    content = tokenizer.read_bytes()
+    size = _tokenizer(content).get_vocab_size(with_added_tokens=True)
+    if not 0 <= end < size:
+        raise ConfigError("the end token is not in the vocabulary")
+    kind = token_type(max(size - 1, end))
+    if tokenizer.resolve() != (folder / TOKENIZER).resolve():
+        shutil.copyfile(tokenizer, folder / TOKENIZER)
+    target = folder / TOKENS
+    target.mkdir()
+    rows = checkpointed(tokenized(documents, content, end))
+    tails = {r["split"]: r["dropped_tail_tokens"] for r in dropped_tails(rows, length).collect()}
+    written = write_sequences(packed_sequences(rows, length, per_shard), target, kind)
     shards = []
     for row in sorted(written.collect(), key=lambda r: (SPLITS.index(r["split"]), r["shard"])):
         name = f"{TOKENS}/{row['split']}-{row['shard']:05d}.bin"

@@ -133,7 +133,7 @@ def _documents(spark: SparkSession, report: Report, manifest: dict, root: Path)
         first = [r["page_id"] for r in docs.where(F.size(residue_kinds(text)) > 0).orderBy("page_id").limit(20).select("page_id").collect()]
         report.errors.append(f"{figures['residue']} documents hold markup, first {first}")
     report.need(not figures["short"], f"{figures['short']} documents have fewer than three words")
-    report.need(digests.sequential_digest(docs) == manifest["documents_content_sha256"], "document content hash differs")
+    report.need(digests.content_digest(docs) == manifest["documents_content_sha256"], "document content hash differs")
     report.checks.append("documents")
     return docs
 
