@@ -7,6 +7,7 @@ import json
 import sys
 from pathlib import Path
 
+from corpusmill import __version__
 from corpusmill.config import BuildConfig, ProbeConfig, SplitConfig
 from corpusmill.errors import CorpusError
 
@@ -21,6 +22,7 @@ def session():
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="corpusmill", description=__doc__)
+    top.add_argument("--version", action="version", version=f"corpusmill {__version__}")
     verbs = top.add_subparsers(dest="verb", required=True)
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--wiki", required=True)
@@ -68,13 +70,27 @@ def _print(value: object) -> None:
     print(json.dumps(value, indent=2, sort_keys=True, ensure_ascii=False))
 
 
+def summary(output: Path, manifest: dict) -> dict:
+    """What a run reports of its manifest: where it lies, what was seen and kept, and the hash of the content."""
+    execution, tokenization = manifest.get("execution", {}), manifest.get("tokenization")
+    return {
+        "output": str(output),
+        "schema_version": manifest["schema_version"],
+        "extraction": manifest["extraction"],
+        "documents_content_sha256": manifest["documents_content_sha256"],
+        "segments": execution.get("segments", 1),
+        "segments_reused": execution.get("segments_reused", 0),
+        "token_shards": len(tokenization["shards"]) if tokenization else 0,
+    }
+
+
 def run(a: argparse.Namespace) -> int:
     """Run one verb; 0 for success, 1 for a dataset that is not valid or a review that blocks."""
     if a.verb == "probe":
         from corpusmill.plans.probe import run_probe
 
         config = ProbeConfig(ordinal=a.ordinal, **_shared(a))
-        _print(run_probe(session(), config))
+        _print(summary(config.output, run_probe(session(), config)))
         return 0
     if a.verb == "build":
         from corpusmill.plans.build import run_build
@@ -82,7 +98,8 @@ def run(a: argparse.Namespace) -> int:
         config = BuildConfig(
             work=a.work, workers=a.workers, near_sample=a.near_sample, keep_work=a.keep_work, quarantine=a.quarantine, fail_after=a.fail_after, **_shared(a)
         )
-        _print(run_build(session(), config, lambda state: print(json.dumps(state, sort_keys=True), file=sys.stderr)))
+        manifest = run_build(session(), config, lambda state: print(json.dumps(state, sort_keys=True), file=sys.stderr))
+        _print(summary(config.output, manifest))
         return 0
     if a.verb == "validate":
         from corpusmill.plans.validate import validate

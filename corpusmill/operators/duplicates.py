@@ -154,6 +154,21 @@ def near_pairs(fingerprints: DataFrame) -> DataFrame:
     )
 
 
+def near_examples(fingerprints: DataFrame, count: int = EXAMPLES) -> DataFrame:
+    """Rows ``(page_id_a, page_id_b, split_a, split_b, distance)``: the first near pairs of different texts.
+
+    In the order of the sample's later page of a pair, the first band on which
+    the two agree, and the earlier page; that is ``page_id_a``.
+    """
+    agrees = [
+        F.shiftright(F.col(f"{half}_a").bitwiseXOR(F.col(f"{half}_b")), 16 * k).bitwiseAND(F.lit(0xFFFF).cast("bigint")) == 0 for half in ("low", "high") for k in (0, 1)
+    ]
+    band = F.coalesce(*(F.when(a, F.lit(i)) for i, a in enumerate(agrees)))
+    near = near_candidates(fingerprints).where(~F.col("same_text") & (F.col("distance") <= DISTANCE))
+    first = near.orderBy("score_b", "page_id_b", band, "score_a", "page_id_a").limit(count)
+    return first.select("page_id_a", "page_id_b", "split_a", "split_b", "distance")
+
+
 def near_audit(documents: DataFrame, size: int = SAMPLE) -> DataFrame:
     """One row of figures of the probe: sample, eligible texts, pairs examined, near pairs and those over splits."""
     sample = checkpointed(near_sample(documents, size))

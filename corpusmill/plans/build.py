@@ -17,6 +17,7 @@ from corpusmill import __version__
 from corpusmill.config import CONTRACT_VERSION, DROP_REASONS, BuildConfig
 from corpusmill.errors import ValidationError
 from corpusmill.functions import columns as C
+from corpusmill.functions.markup import residue_kinds
 from corpusmill.operators import cascade, digests, documents, duplicates, review
 from corpusmill.plans import publish, tokens
 from corpusmill.plans.source import Prepared, copy_index, prepare
@@ -36,14 +37,14 @@ def ranges_of(spark: SparkSession, prepared: Prepared) -> DataFrame:
     return checkpointed(load_catalog(read_index(spark, f"file://{prepared.index}"), prepared.metadata["dump"]["bytes"]))
 
 
-def commits(work: Path, identity: str) -> list[dict]:
+def commits(spark: SparkSession, work: Path, identity: str) -> list[dict]:
     """The commits of a work folder in order; one of another identity, or whose data changed, is an error."""
     found = []
     for marker in sorted((work / "commits").glob("*/commit.json")):
         commit = read_json(marker, "a commit")
         if commit.get("identity") != identity:
             raise ValidationError("a commit belongs to another source")
-        held = artifact(marker.parent, "pages", commit.get("artifact", {}).get("records", 0)).as_dict()
+        held = artifact(marker.parent, "pages", commit.get("artifact", {}).get("records", 0), spark).as_dict()
         if held != commit.get("artifact"):
             raise ValidationError("the data of a commit have changed")
         found.append(commit | {"folder": str(marker.parent)})
@@ -60,7 +61,12 @@ def build_segments(spark: SparkSession, config: BuildConfig, prepared: Prepared,
     """
     work = config.work_folder
     (work / "commits").mkdir(parents=True, exist_ok=True)
-    done = commits(work, prepared.identity)
+    done = commits(spark, work, prepared.identity)
+    for commit in done:
+        held = spark.read.parquet(f"file://{commit['folder']}/pages")
+        faults = _batch_faults(held, ranges.where(F.col("ordinal").between(commit["first"], commit["last"])), commit["artifact"]["records"])
+        if faults:
+            raise ValidationError("a commit is not sound any more: " + "; ".join(faults))
     held = {o for c in done for o in range(c["first"], c["last"] + 1)}
     reused = len(held)
     total = ranges.count()
@@ -100,28 +106,50 @@ def _commit_batch(config: BuildConfig, prepared: Prepared, ranges: DataFrame, fi
     if faults:
         raise ValidationError("a batch of segments is not sound: " + "; ".join(faults))
     count = written.count()
-    commit = {"identity": prepared.identity, "first": first, "last": last, "artifact": artifact(hidden, "pages", count).as_dict()}
+    commit = {"identity": prepared.identity, "first": first, "last": last, "artifact": artifact(hidden, "pages", count, rows.sparkSession).as_dict()}
     write_json(hidden / "commit.json", commit)
     os.replace(hidden, final)
     return commit | {"folder": str(final)}
 
 
-def _batch_faults(pages: DataFrame, ranges: DataFrame) -> list[str]:
-    """What keeps a batch from being committed: pages lost or added, order, and decisions without a known reason."""
+def _batch_faults(pages: DataFrame, ranges: DataFrame, records: int | None = None) -> list[str]:
+    """What keeps a batch from being committed or used again.
+
+    Pages lost or added, their order, lengths and hashes of the segments,
+    decisions without a known reason, and texts that are no prose.
+    """
     sound = pages.where("problem is null")
-    seen = sound.groupBy("ordinal").agg(C.id_list_hash(F.collect_list("page_id")).alias("seen"), F.count(F.lit(1)).alias("n"), F.countDistinct("page_id").alias("different"))
+    seen = sound.groupBy("ordinal").agg(
+        C.id_list_hash(F.collect_list("page_id")).alias("seen"),
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("page_id").alias("different"),
+        F.min("page_id").alias("least"),
+        F.min("segment_bytes").alias("bytes"),
+        F.max("segment_bytes").alias("most_bytes"),
+        F.min("segment_sha256").alias("hash"),
+        F.max("segment_sha256").alias("last_hash"),
+    )
     broken = pages.where("problem is not null").select("ordinal").distinct()
-    wanted = ranges.select("ordinal", "pages", "page_ids_sha256").join(broken, "ordinal", "left_anti")
+    wanted = ranges.select("ordinal", "start", "end", "pages", "page_ids_sha256").join(broken, "ordinal", "left_anti")
     joined = wanted.join(seen, "ordinal", "left")
     checks = {
         "missing segments": F.col("n").isNull(),
         "page counts": F.col("n") != F.col("pages"),
         "page lists": F.col("seen") != F.col("page_ids_sha256"),
         "repeated pages": F.col("different") != F.col("n"),
+        "page identifiers": F.col("least") < 0,
+        "segment lengths": ~(F.col("bytes").eqNullSafe(F.col("end") - F.col("start") + 1) & F.col("most_bytes").eqNullSafe(F.col("bytes"))) & F.col("n").isNotNull(),
+        "segment hashes": ~(F.col("hash").eqNullSafe(F.col("last_hash")) & F.coalesce(F.length("hash") == 64, F.lit(False))) & F.col("n").isNotNull(),
     }
     row = joined.agg(*(F.count_if(c).alias(n) for n, c in checks.items())).first()
-    reasons = sound.where(F.col("reason").isNotNull() & ~F.col("reason").isin(*DROP_REASONS) | F.col("reason").isNull() & F.col("text").isNull()).count()
-    return [n for n in checks if row[n]] + (["reasons"] if reasons else [])
+    dropped = F.col("reason").isNotNull()
+    figures = pages.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("problem").isNull() & (dropped & ~F.col("reason").isin(*DROP_REASONS) | ~dropped & F.col("text").isNull() | dropped & F.col("text").isNotNull())).alias("reasons"),
+        F.count_if(~dropped & ((C.word_count(F.col("text")) < cascade.LEAST_WORDS) | (F.size(residue_kinds(F.col("text"))) > 0))).alias("texts"),
+    ).first()
+    found = [n for n in checks if row[n]] + [n for n in ("reasons", "texts") if figures[n]]
+    return found + (["records"] if records is not None and figures["rows"] != records else [])
 
 
 def segment_ledger(pages: DataFrame, ranges: DataFrame, docs: DataFrame) -> DataFrame:
@@ -168,6 +196,10 @@ def corpus_audit(docs: DataFrame, near_sample: int) -> dict:
         for r in duplicates.cross_split_groups(docs).collect()
     ]
     near = duplicates.near_audit(docs, near_sample).first().asDict()
+    prints = duplicates.simhashes(duplicates.near_sample(docs, near_sample))
+    near["near_duplicate_examples"] = [
+        {"page_ids": [r["page_id_a"], r["page_id_b"]], "splits": [r["split_a"], r["split_b"]], "distance": r["distance"]} for r in duplicates.near_examples(prints).collect()
+    ]
     return {
         "page_id_split_intersection_count": documents.split_intersection(docs).count(),
         "exact_duplicates": {
@@ -241,7 +273,7 @@ def stage(spark: SparkSession, config: BuildConfig, prepared: Prepared, ranges:
     }
     return {
         "extraction": extraction,
-        "artifacts": {n: artifact(staging, n, r).as_dict() for n, r in records.items()},
+        "artifacts": {n: artifact(staging, n, r, spark).as_dict() for n, r in records.items()},
         "documents_content_sha256": audit["documents_content_sha256"],
         "attribution_content_sha256": digests.attribution_digest(held),
         "tokenization": tokenization,

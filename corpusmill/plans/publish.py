@@ -9,7 +9,8 @@ import warnings
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusmill.errors import ValidationError
@@ -26,6 +27,21 @@ def write_table(frame: DataFrame, path: Path, key: str = "page_id") -> None:
     ordered.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(f"file://{path}")
 
 
+def out_of_order(spark: SparkSession, path: Path, key: str = "page_id") -> int:
+    """How many rows of a written table do not rise strictly above the row before them, over all its part files.
+
+    Rows are compared within their file, and files, of which each gives one
+    row, with the file before.
+    """
+    rows = spark.read.parquet(f"file://{path}").select(F.col(key).alias("key"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    placed = rows.withColumn("before", F.lag("key").over(W.partitionBy("file").orderBy("row")))
+    files = placed.groupBy("file").agg(
+        F.count_if(F.col("key").isNull() | (F.col("key") <= F.col("before"))).alias("inside"), F.min("key").alias("least"), F.max("key").alias("most")
+    )
+    joints = files.withColumn("reached", F.max("most").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)))  # one row a file
+    return joints.agg(F.coalesce(F.sum(F.col("inside") + F.when(F.col("least") <= F.col("reached"), 1).otherwise(0)), F.lit(0)).alias("n")).first()["n"]
+
+
 @contextmanager
 def staging_for(target: Path):
     """A hidden folder beside the target, removed if what fills it fails."""

@@ -85,6 +85,11 @@ def near_pairs(spark, d):
     return duplicates.near_pairs(duplicates.simhashes(sample)).select("page_id_a", "page_id_b", "distance")
 
 
+def near_examples(spark, d):
+    sample = duplicates.near_sample(table(spark, d, "wiki_documents"))
+    return duplicates.near_examples(duplicates.simhashes(sample))
+
+
 def near_audit(spark, d):
     return duplicates.near_audit(table(spark, d, "wiki_documents"))
 
@@ -328,7 +333,7 @@ def queries():
     """All core queries by name."""
     found = (
         split_assignment, split_summary, text_fingerprint, article_urls, attribution, attribution_mismatches, split_intersection,
-        repeated_pages, exact_duplicate_groups, cross_split_groups, exact_audit, near_sample, simhash, near_pairs, near_audit,
+        repeated_pages, exact_duplicate_groups, cross_split_groups, exact_audit, near_sample, simhash, near_pairs, near_examples, near_audit,
         review_strata, review_candidates, review_problems, review_labels, review_reviewers, structural_drops, dropped_lines, drop_cascade,
         extracted_documents, extraction_reasons, drop_counts, accounting, decision_problems, decisions_against_index,
         decisions_against_documents, page_decisions, segment_ranges, segment_pages, page_positions,
@@ -361,7 +366,8 @@ _SIMHASH = rf"""
                       sum(CASE WHEN vl >= 0 THEN 1::BIGINT << b ELSE 0 END)::BIGINT AS low FROM votes GROUP BY page_id)"""
 _NEAR = f"""{_SIMHASH},
     full_prints AS (SELECT p.*, s.split, s.sha, s.score FROM prints p JOIN sample s USING (page_id)),
-    candidates AS (SELECT a.page_id AS pa, b.page_id AS pb, a.split AS sa, b.split AS sb, a.sha = b.sha AS same,
+    candidates AS (SELECT a.page_id AS pa, b.page_id AS pb, a.split AS sa, b.split AS sb, a.sha = b.sha AS same, a.score AS score_a, b.score AS score_b,
+                          CASE WHEN a.low & 65535 = b.low & 65535 THEN 0 WHEN a.low >> 16 = b.low >> 16 THEN 1 WHEN a.high & 65535 = b.high & 65535 THEN 2 ELSE 3 END AS band,
                           (bit_count(xor(a.high, b.high)) + bit_count(xor(a.low, b.low)))::INT AS distance
                    FROM full_prints a JOIN full_prints b ON (a.score, a.page_id) < (b.score, b.page_id)
                     AND (a.high >> 16 = b.high >> 16 OR a.high & 65535 = b.high & 65535 OR a.low >> 16 = b.low >> 16 OR a.low & 65535 = b.low & 65535))"""
@@ -431,6 +437,8 @@ def oracle_sql():
         "near_sample": f"WITH {_SIMHASH} SELECT page_id, score FROM sample",
         "simhash": f"WITH {_SIMHASH} SELECT page_id, high, low FROM prints",
         "near_pairs": f"WITH {_NEAR} SELECT least(pa, pb) AS page_id_a, greatest(pa, pb) AS page_id_b, distance FROM candidates WHERE NOT same AND distance <= 3",
+        "near_examples": f"""WITH {_NEAR} SELECT pa AS page_id_a, pb AS page_id_b, sa AS split_a, sb AS split_b, distance FROM candidates
+            WHERE NOT same AND distance <= 3 ORDER BY score_b, pb, band, score_a, pa LIMIT 20""",
         "near_audit": f"""WITH {_NEAR} SELECT 5000 AS requested_sample_size, (SELECT count(*) FROM sample) AS observed_sample_size,
             (SELECT count(*) FROM prints) AS eligible_documents, count(*) AS candidate_pairs_examined,
             count(*) FILTER (NOT same AND distance <= 3) AS near_duplicate_pairs_observed,

@@ -14,6 +14,7 @@ from corpusmill.errors import CorpusError, ValidationError
 from corpusmill.functions import columns as C
 from corpusmill.functions.markup import residue_kinds
 from corpusmill.operators import catalog, digests, documents, ledger
+from corpusmill.operators.packing import with_neighbours
 from corpusmill.plans import publish, tokens
 from corpusmill.runtime import ship
 from corpusmill.schemas import ATTRIBUTION, DOCUMENTS, PAGE_DECISIONS
@@ -52,7 +53,7 @@ def validate(spark: SparkSession, folder: Path) -> Report:
             return report
         if version == 2:
             _source(report, manifest)
-        if not _artifacts(report, manifest, root):
+        if not _artifacts(spark, report, manifest, root):
             return report
         docs = _documents(spark, report, manifest, root)
         if version == 2:
@@ -81,13 +82,13 @@ def _source(report: Report, manifest: dict) -> None:
     report.checks.append("source identity")
 
 
-def _artifacts(report: Report, manifest: dict, root: Path) -> bool:
+def _artifacts(spark: SparkSession, report: Report, manifest: dict, root: Path) -> bool:
     before = len(report.errors)
     for name, stated in manifest["artifacts"].items():
         path = confined(root, stated.get("path"))
         if not report.need(path.exists(), f"artifact {name} is missing"):
             continue
-        held = artifact(root, stated["path"], stated.get("records")).as_dict()
+        held = artifact(root, stated["path"], stated.get("records"), spark).as_dict()
         report.need(held["bytes"] == stated.get("bytes"), f"artifact {name} has another size")
         report.need(held["sha256"] == stated.get("sha256"), f"artifact {name} has another hash")
     if "source" in manifest and publish.INDEX in manifest["artifacts"]:
@@ -126,7 +127,8 @@ def _documents(spark: SparkSession, report: Report, manifest: dict, root: Path)
     ).first()
     stated = manifest["artifacts"][publish.DOCUMENTS]["records"]
     report.need(figures["rows"] == stated and figures["rows"] == manifest["extraction"]["documents_emitted"], "document counts differ")
-    report.need(figures["rows"] == figures["pages"] and not figures["ids"], "page identifiers do not rise strictly")
+    report.need(figures["rows"] == figures["pages"] and not figures["ids"], "page identifiers are repeated or missing")
+    report.need(not publish.out_of_order(spark, root / publish.DOCUMENTS), "page identifiers do not rise strictly")
     report.need(not figures["splits"], f"{figures['splits']} documents are in another split than assigned")
     report.need(not figures["hashes"], f"{figures['hashes']} text hashes differ")
     if figures["residue"]:
@@ -153,36 +155,54 @@ def _ranges(spark: SparkSession, manifest: dict, root: Path) -> tuple[DataFrame,
     return index, catalog.segment_ranges(index, size)
 
 
+_LEDGER = (
+    "stream struct<ordinal:int,start:bigint,end:bigint,first_page_id:bigint>, index struct<pages:bigint,page_ids_sha256:string>, "
+    "segment struct<bytes:bigint,sha256:string>, extraction struct<pages_seen:bigint,documents_emitted:bigint,pages_dropped:bigint,"
+    "drop_counts:map<string,bigint>>, documents_content_sha256 string"
+)
+
+
 def _segments(spark: SparkSession, report: Report, manifest: dict, root: Path) -> None:
-    stated = read_lines(root / publish.SEGMENTS, "the segment ledger")
+    """The segment ledger against the ranges of the index, as a join; errors name the first segment of each kind."""
+    stated = spark.read.schema(_LEDGER).option("mode", "FAILFAST").json(f"file://{root / publish.SEGMENTS}")
     _, ranges = _ranges(spark, manifest, root)
-    derived = {r["ordinal"]: r for r in ranges.drop("page_ids").toLocalIterator()}
-    report.need([s["stream"]["ordinal"] for s in stated] == list(range(len(derived))), "segment ordinals are not dense")
-    before = -1 if not stated else stated[0]["stream"]["start"] - 1
-    totals = {"pages_seen": 0, "documents_emitted": 0, "pages_dropped": 0}
-    reasons = dict.fromkeys(DROP_REASONS, 0)
-    for row in stated:
-        stream, index, segment, outcome = row["stream"], row["index"], row["segment"], row["extraction"]
-        name, wanted = f"segment {stream['ordinal']}", derived.get(stream["ordinal"])
-        if not report.need(wanted is not None, f"{name} is not in the index"):
-            continue
-        report.need((stream["start"], stream["end"], stream["first_page_id"]) == (wanted["start"], wanted["end"], wanted["first_page_id"]), f"{name} range differs")
-        report.need((index["pages"], index["page_ids_sha256"]) == (wanted["pages"], wanted["page_ids_sha256"]), f"{name} pages differ")
-        report.need(stream["start"] == before + 1, f"{name} does not follow the one before")
-        report.need(segment["bytes"] == stream["end"] - stream["start"] + 1, f"{name} length differs")
-        report.need(isinstance(segment["sha256"], str) and len(segment["sha256"]) == 64, f"{name} has no hash")
-        report.need(outcome["documents_emitted"] + outcome["pages_dropped"] == outcome["pages_seen"] == wanted["pages"], f"{name} does not account for its pages")
-        report.need(sum(outcome["drop_counts"].values()) == outcome["pages_dropped"], f"{name} reasons differ")
-        before = stream["end"]
-        for key in totals:
-            totals[key] += outcome[key]
-        for key, count in outcome["drop_counts"].items():
-            if report.need(key in reasons, f"{name} has an unknown reason"):
-                reasons[key] += count
-    report.need(before == manifest["source"]["dump"]["bytes"] - 1, "the last segment does not end the dump")
+    count = lambda key: F.coalesce(F.col(f"extraction.drop_counts.{key}"), F.lit(0))
+    rows = with_neighbours(stated.withColumn("ordinal", F.col("stream.ordinal")), "ordinal", "stream")
+    wanted = ranges.select("ordinal", F.struct("start", "end", "first_page_id", "pages", "page_ids_sha256").alias("wanted"))
+    joined = rows.join(wanted, "ordinal", "full")
+    differs = lambda part, names: F.lit(False) if not names else ~F.struct(*(F.col(f"{part}.{n}") for n in names)).eqNullSafe(F.struct(*(F.col(f"wanted.{n}") for n in names)))
+    listed, known = F.col("stream").isNotNull(), F.col("wanted").isNotNull()
+    outcome, segment, stream = F.col("extraction"), F.col("segment"), F.col("stream")
+    accounts = (outcome["documents_emitted"] + outcome["pages_dropped"] == outcome["pages_seen"]) & (outcome["pages_seen"] == F.col("wanted.pages"))
+    dropped = F.aggregate(F.map_values(outcome["drop_counts"]), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    unknown = F.size(F.array_except(F.map_keys(outcome["drop_counts"]), F.array(*map(F.lit, DROP_REASONS)))) > 0
+    faults = {
+        "is not in the index": listed & ~known,
+        "is not in the ledger": known & ~listed,
+        "is listed twice or out of number": listed & (F.col("place") != F.col("ordinal")),
+        "range differs": listed & known & differs("stream", ["start", "end", "first_page_id"]),
+        "pages differ": listed & known & differs("index", ["pages", "page_ids_sha256"]),
+        "does not follow the one before": listed & (stream["start"] != F.col("before.end") + 1),
+        "length differs": listed & ~segment["bytes"].eqNullSafe(stream["end"] - stream["start"] + 1),
+        "has no hash": listed & ~F.coalesce(F.length(segment["sha256"]) == 64, F.lit(False)),
+        "does not account for its pages": listed & known & ~F.coalesce(accounts, F.lit(False)),
+        "reasons differ": listed & ~dropped.eqNullSafe(outcome["pages_dropped"]),
+        "has an unknown reason": listed & F.coalesce(unknown, F.lit(True)),
+    }
+    totals = ("pages_seen", "documents_emitted", "pages_dropped")
+    figures = joined.agg(
+        *(F.min(F.when(c, F.col("ordinal"))).alias(f"f{i}") for i, c in enumerate(faults.values())),
+        *(F.coalesce(F.sum(outcome[t]), F.lit(0)).alias(t) for t in totals),
+        *(F.coalesce(F.sum(count(r)), F.lit(0)).alias(r) for r in DROP_REASONS),
+        F.max(stream["end"]).alias("end"),
+    ).first()
+    for i, message in enumerate(faults):
+        if figures[f"f{i}"] is not None:
+            report.errors.append(f"segment {figures[f'f{i}']} {message}")
+    report.need(figures["end"] == manifest["source"]["dump"]["bytes"] - 1, "the last segment does not end the dump")
     extraction = manifest["extraction"]
-    report.need(all(totals[k] == extraction[k] for k in totals), "segment totals differ from the manifest")
-    report.need(reasons == extraction["drop_counts"], "segment reasons differ from the manifest")
+    report.need(all(figures[t] == extraction[t] for t in totals), "segment totals differ from the manifest")
+    report.need({r: figures[r] for r in DROP_REASONS} == extraction["drop_counts"], "segment reasons differ from the manifest")
     report.checks.append("segments")
 
 
@@ -201,6 +221,7 @@ def _decisions(spark: SparkSession, report: Report, manifest: dict, root: Path,
     placed = ranges.select("ordinal", F.explode("page_ids").alias("page_id"))
     moved = rows.join(placed, "page_id").where(F.col("ordinal") != F.col("stream_ordinal"))
     report.need(moved.isEmpty(), "decisions stand under another segment than the index")
+    report.need(not publish.out_of_order(spark, root / publish.DECISIONS), "decisions are not in the order of the index")
     report.need(ledger.decisions_against_documents(rows, docs).isEmpty(), "emitted decisions and documents differ")
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("decision") == "emitted").alias("e")).first()
     report.need((counts["n"], counts["e"]) == (extraction["pages_seen"], extraction["documents_emitted"]), "decision counts differ")

@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.errors import ConfigError
+
 #: Rows up to which a table of a few numbers a row may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -30,10 +32,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one where that is unset and all runs on this machine."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not context.master.startswith("local"):
+            raise ConfigError("spark.checkpoint.dir names no folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusmill-"))
     return named or context._jsc.sc().getCheckpointDir().get()
 

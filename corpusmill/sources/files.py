@@ -10,6 +10,9 @@ import tempfile
 from dataclasses import asdict, dataclass
 from pathlib import Path
 
+import pyarrow as pa
+from pyspark.sql import SparkSession
+
 from corpusmill.errors import FormatError, ValidationError
 
 _CHUNK = 1 << 20
@@ -46,18 +49,41 @@ def parts_of(path: Path) -> list[Path]:
     return sorted(p for p in path.rglob("*") if p.is_file() and not p.name.startswith((".", "_")))
 
 
-def artifact(root: Path, name: str, records: int) -> Artifact:
-    """The summary of an artifact; a folder's hash is taken over the names and hashes of its parts."""
+#: Bytes of an artifact's parts from which they are hashed by tasks and not by the driver.
+DRIVER_BYTES = 64 << 20
+
+
+def artifact(root: Path, name: str, records: int, spark: SparkSession | None = None) -> Artifact:
+    """The summary of an artifact; a folder's hash is taken over the names and hashes of its parts.
+
+    With a session the parts of a large folder are hashed by tasks, which read
+    them from the folder all executors share.
+    """
     path = root / name
     if path.is_file():
         _, digest, size = file_digests(path)
         return Artifact(name, digest, size, records)
-    listed, total = hashlib.sha256(), 0
-    for part in parts_of(path):
-        _, digest, size = file_digests(part)
+    parts = parts_of(path)
+    sizes = [p.stat().st_size for p in parts]
+    if spark is not None and sum(sizes) > DRIVER_BYTES:
+        hashes = _hashes_by_tasks(spark, parts)
+    else:
+        hashes = [file_digests(p)[1] for p in parts]
+    listed = hashlib.sha256()
+    for part, digest in zip(parts, hashes):
         listed.update(f"{part.relative_to(path).as_posix()} {digest}\n".encode())
-        total += size
-    return Artifact(name, listed.hexdigest(), total, records)
+    return Artifact(name, listed.hexdigest(), sum(sizes), records)
+
+
+def _hashes_by_tasks(spark: SparkSession, parts: list[Path]) -> list[str]:
+    def run(batches):
+        for batch in batches:
+            digests = [file_digests(Path(p))[1] for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(digests, pa.string())], names=["path", "sha256"])
+
+    rows = spark.createDataFrame([(str(p),) for p in parts], "path string").repartition(len(parts))
+    found = {r["path"]: r["sha256"] for r in rows.mapInArrow(run, "path string, sha256 string").collect()}
+    return [found[str(p)] for p in parts]
 
 
 def confined(root: Path, name: object) -> Path:
