@@ -1,6 +1,6 @@
 """Near-duplicate texts (problem 5).
 
-Texts are told apart by a 64-bit key, so exact copies are one class from the
+Texts are told apart by a checked 64-bit key, so exact copies are one class from the
 start and never paired.  Signatures are made where the rows are read; what
 moves are the signature records, then candidate pairs of classes, then the
 shingle sets of the few texts that are in a pair.
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import blocks, partenum
-from corpusmill.llm.columns import not_blank
+from corpusmill.llm.columns import not_blank, text_class
 from corpusmill.llm.shingles import shingle_hashes, shingle_sets, word_hashes
 from corpusmill.runtime import checkpointed, small_side, spread
 
@@ -24,17 +24,19 @@ from corpusmill.runtime import checkpointed, small_side, spread
 WIDTH, THRESHOLD, MIN_WORDS = 3, 0.6, 20
 #: Pairs of classes made at once.
 PAIR_BLOCK = 1 << 20
+#: Classes of a signature from which they are compared by the shingles of their prefixes and not all with all.
+HOT_CLASSES = 64
 
 
 def keyed_texts(pages: DataFrame, id_col: str = "page_id", text_col: str = "text") -> DataFrame:
     """Rows ``(page_id, text_class, text)`` of all rows with an identifier and a text that is not blank."""
-    return pages.select(F.col(id_col).alias("page_id"), F.xxhash64(text_col).alias("text_class"), F.col(text_col).alias("text")).where(
+    return pages.select(F.col(id_col).alias("page_id"), text_class(pages, text_col).alias("text_class"), F.col(text_col).alias("text")).where(
         F.col("page_id").isNotNull() & not_blank(F.col("text"))
     )
 
 
-def frequent_shingles(texts: DataFrame, width: int, min_words: int) -> tuple[np.ndarray, int]:
-    """Which counters hold very frequent shingles, over all texts, and a number of buckets for the signatures."""
+def shingle_loads(texts: DataFrame, width: int, min_words: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """In how many texts the shingles of each counter occur, which of these are very frequent, and a number of buckets for the signatures."""
 
     def slots_of(part):
         words, offsets = word_hashes(part)
@@ -46,12 +48,16 @@ def frequent_shingles(texts: DataFrame, width: int, min_words: int) -> tuple[np.
         return partenum.slot(hashes[long[owner]]), owner[long[owner]], long, int(2 * per_group * groups.sum())
 
     load, count, expected = blocks.slot_loads(texts, "text_class", "text", slots_of, partenum.SLOTS)
-    return load >= max(2.0, partenum.FREQUENT_SHARE * count), max(1, -(-expected // blocks.BUCKET_RECORDS))
+    return load, load >= max(2.0, partenum.FREQUENT_SHARE * count), max(1, -(-expected // blocks.BUCKET_RECORDS))
 
 
-def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: int, hot_members: int = blocks.HOT_MEMBERS) -> DataFrame:
-    """Rows ``(a, b)``, ``a < b``: classes that share a PartEnum signature; held in the shared folder."""
-    frequent, buckets = frequent_shingles(texts, width, min_words)
+def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: int, hot_classes: int = HOT_CLASSES) -> DataFrame:
+    """Rows ``(a, b)``, ``a < b``: classes that share a PartEnum signature; held in the shared folder.
+
+    The classes of a signature that very many share are not paired all with
+    all, but only where they can be alike, see ``prefix_pairs``.
+    """
+    loads, frequent, buckets = shingle_loads(texts, width, min_words)
     packed = np.packbits(frequent)
 
     def records(batches):
@@ -69,12 +75,44 @@ def candidate_pairs(texts: DataFrame, threshold: float, width: int, min_words: i
                 yield np.stack([found, names[a:b][kept][owner]], 1)
 
     sent = spread(texts.select("text_class", "text")).mapInArrow(lambda batches: blocks.pack_blocks(records(batches), buckets), "bucket bigint, block binary")
-    rows = checkpointed(blocks.by_bucket(sent, buckets, partial(group_pairs, hot_members=hot_members), ["a", "b", "hot"], 2).distinct())
+    rows = checkpointed(blocks.by_bucket(sent, buckets, partial(group_pairs, hot_members=hot_classes), ["a", "b", "hot"], 2).distinct())
     pairs, hot = rows.where("hot = 0").select("a", "b"), rows.where("hot = 1")
     if hot.isEmpty():
         return pairs
-    left, right = (hot.select(F.col("a").alias("key"), F.col("b").alias(side)) for side in ("a", "b"))
-    return checkpointed(pairs.union(blocks.salted_pairs(left, right).where("a < b").select("a", "b")).distinct())
+    involved = hot.select(F.col("b").alias("text_class")).distinct()
+    involved = small_side(involved, involved.count())
+    members = texts.select("text_class", "text").join(involved, "text_class", "left_semi").dropDuplicates(["text_class"])
+    return checkpointed(pairs.union(prefix_pairs(members, loads, threshold, width, min_words)).distinct())
+
+
+def prefix_pairs(texts: DataFrame, loads: np.ndarray, threshold: float, width: int, min_words: int) -> DataFrame:
+    """Rows ``(a, b)``, ``a < b``: the pairs of the classes that share a shingle of their prefixes.
+
+    With all shingles in one order, rare ones first, two sets alike to the
+    threshold share one among the first ``size - ceil(threshold * size) + 1``
+    of each, so none is lost; sets that have only common passages in common
+    share none.
+    """
+    held = loads.astype(np.int64).tobytes()
+
+    def run(batches):
+        rank = np.frombuffer(held, np.int64)
+        for batch in batches:
+            column = batch.column(1).to_pylist()
+            for a, b in blocks.text_chunks(column):
+                hashes, ends, words = shingle_sets(column[a:b], width)
+                hashes, ends, kept = long_sets(hashes, ends, words >= min_words)
+                sizes = np.diff(ends)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                order = np.lexsort((hashes, rank[partenum.slot(hashes)], owner))
+                place = np.arange(len(owner)) - np.repeat(ends[:-1], sizes)
+                use = order[place <= np.repeat(sizes - np.ceil(threshold * sizes - 1e-9), sizes)]
+                names = batch.column(0).slice(a, b - a).take(pa.array(kept[owner[use]], pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[use].view(np.int64)), names], names=["shingle", "text_class"])
+
+    sent = checkpointed(texts.select("text_class", "text").mapInArrow(run, "shingle bigint, text_class bigint"))
+    left, right = (sent.select("shingle", F.col("text_class").alias(side)) for side in "ab")
+    return left.join(right, "shingle").where("a < b").select("a", "b").distinct()
 
 
 def long_sets(hashes: np.ndarray, ends: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,11 +122,11 @@ def long_sets(hashes: np.ndarray, ends: np.ndarray, keep: np.ndarray) -> tuple[n
     return hashes[inside], np.concatenate([[0], np.cumsum(sizes[keep])]), np.flatnonzero(keep)
 
 
-def group_pairs(records: np.ndarray, hot_members: int = blocks.HOT_MEMBERS):
+def group_pairs(records: np.ndarray, hot_members: int = HOT_CLASSES):
     """Rows ``(a, b, 0)`` of the pairs of different classes with equal keys, in bounded blocks.
 
     A key with more than ``hot_members`` classes gives rows ``(key, class, 1)``
-    instead, for a join that spreads its pairs over tasks.
+    instead, to be compared by their shingles.
     """
     records = np.unique(records, axis=0)
     keys, names = records[:, 0], records[:, 1].view(np.int64)
@@ -158,19 +196,19 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, width: int, m
 
 
 def similar_classes(
-    texts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS, hot_members: int = blocks.HOT_MEMBERS
+    texts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS, hot_classes: int = HOT_CLASSES
 ) -> DataFrame:
     """Rows ``(a, b, likeness)``, ``a < b``: all pairs of different texts alike to the threshold, by text class.
 
     Likeness is the Jaccard similarity of the sets of ``width`` consecutive
     words.  Texts of fewer than ``min_words`` words are in no pair.
     """
-    pairs = candidate_pairs(texts, threshold, width, min_words, hot_members)
+    pairs = candidate_pairs(texts, threshold, width, min_words, hot_classes)
     return verified(pairs, texts, threshold, width, min_words)
 
 
 def near_pages(
-    pages: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS, hot_members: int = blocks.HOT_MEMBERS
+    pages: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, min_words: int = MIN_WORDS, hot_classes: int = HOT_CLASSES
 ) -> DataFrame:
     """Rows ``(page_id_a, page_id_b)``, ``page_id_a < page_id_b``: different pages with similar but different texts.
 
@@ -180,7 +218,7 @@ def near_pages(
     is with every page of a similar text.
     """
     texts = keyed_texts(pages)
-    pairs = checkpointed(similar_classes(texts, threshold, width, min_words, hot_members))
+    pairs = checkpointed(similar_classes(texts, threshold, width, min_words, hot_classes))
     members = class_members(texts, pairs)
     left, right = (members.select(F.col("text_class").alias(c), F.col("page_id").alias(f"page_{c}")) for c in "ab")
     return (

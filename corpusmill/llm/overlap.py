@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import blocks, segments
-from corpusmill.llm.columns import not_blank, tidy
+from corpusmill.llm.columns import not_blank, text_class, tidy
 from corpusmill.llm.near import MIN_WORDS, THRESHOLD, WIDTH
 from corpusmill.llm.partenum import FREQUENT_SHARE, SLOTS, slot
 from corpusmill.llm.shingles import shingle_hashes, word_hashes
@@ -37,7 +37,7 @@ def split_texts(pages: DataFrame) -> DataFrame:
     Splits count after trimming and lower-casing; a null split is in none.
     """
     return pages.select(
-        "page_id", tidy(F.col("split")).alias("split"), tidy(F.col("wiki")).alias("wiki"), F.xxhash64("text").alias("text_class"), "text"
+        "page_id", tidy(F.col("split")).alias("split"), tidy(F.col("wiki")).alias("wiki"), text_class(pages).alias("text_class"), "text"
     ).where(F.col("page_id").isNotNull() & F.col("split").isin(TRAINING, *EVALUATION) & not_blank(F.col("text")))
 
 

@@ -126,7 +126,7 @@ def test_overlaps_of_brute_force(spark, near_rows):
 
 def test_hot_keys_are_joined_with_salts(spark, near_rows):
     pages = wiki(spark, near_rows)
-    found = {tuple(r) for r in near.near_pages(pages, hot_members=2).collect()}
+    found = {tuple(r) for r in near.near_pages(pages, hot_classes=2).collect()}
     assert found == near_pairs_by_hand(near_rows)
     texts = overlap.split_texts(pages)
     plain, salted = ({(r["a"], r["b"]) for r in overlap.overlap_classes(texts, hot_members=n).collect()} for n in (10_000, 1))

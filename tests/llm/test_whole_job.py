@@ -170,7 +170,7 @@ def test_counters_and_candidates_do_not_depend_on_the_layout(spark):
     seen = []
     for parts in (1, 7, 64):
         keyed = near.keyed_texts(pages.repartition(parts))
-        marks, _ = near.frequent_shingles(keyed, 3, 20)
+        _, marks, _ = near.shingle_loads(keyed, 3, 20)
         pairs = {(p["a"], p["b"]) for p in near.candidate_pairs(keyed, 0.6, 3, 20).collect()}
         crossed = {(p["a"], p["b"]) for p in overlap.segment_candidates(overlap.split_texts(pages.repartition(parts)), 0.6, 20).collect()}
         seen.append((marks.tobytes(), pairs, crossed))
@@ -207,3 +207,30 @@ def test_few_edits_prove_the_likeness(size):
         assert (found is not None) == (likeness >= 0.6) and (found is None or found[0] == pytest.approx(likeness))
     moved = np.arange(200, dtype=np.uint64)
     assert overlap.judge_pair(moved, np.concatenate([moved[90:], moved[:90]]), 0.6, 3)[1] is None
+
+
+def test_classes_of_a_hot_signature_are_not_paired_all_with_all(spark):
+    r = random.Random(13)
+    shared = " ".join(f"s{i}" for i in range(80))
+    texts = [f"{shared} " + " ".join(f"w{r.randrange(10**7)}" for _ in range(70)) for _ in range(1200)]
+    texts += [t + " and an end" for t in texts[:20]]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id bigint, text string")
+    keyed = near.keyed_texts(pages)
+    assert near.candidate_pairs(keyed, 0.6, 3, 20, hot_classes=10**9).count() > 100_000
+    assert near.candidate_pairs(keyed, 0.6, 3, 20).count() < 5_000
+    found = {tuple(x) for x in near.near_pages(pages).collect()}
+    assert found == {(i, 1200 + i) for i in range(20)}
+
+
+def test_texts_with_a_shared_hash_are_told_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from corpusmill.llm import columns
+
+    frame = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "text string")
+    plain = {(x[0], x[1]) for x in frame.select("text", columns.text_class(frame)).collect()}
+    assert len({c for t, c in plain if t}) == 2 and len(plain) == 3
+    real = F.xxhash64
+    monkeypatch.setattr(columns.F, "xxhash64", lambda *c: real(*c) if len(c) > 1 else F.lit(5).cast("bigint"))
+    told = {(x[0], x[1]) for x in frame.select("text", columns.text_class(frame)).collect()}
+    assert len({c for t, c in told if t}) == 2
