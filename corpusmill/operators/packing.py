@@ -63,7 +63,8 @@ def packed_sequences(documents: DataFrame, length: int, per_shard: int) -> DataF
     the documents, which send one slice of their tokens to each sequence they
     touch.
     """
-    sized = documents.select("split", "page_id", F.size("tokens").cast("bigint").alias("size"))
+    # ranging samples its input, which would make the tokens once more
+    sized = checkpointed(documents.select("split", "page_id", F.size("tokens").cast("bigint").alias("size")))
     offsets = with_offsets(sized, "split", ["page_id"], "size").where("size > 0")
     placed = documents.select("split", "page_id", "tokens").join(small_side(offsets, offsets.count()), ["split", "page_id"])
     first, last = F.floor(F.col("offset") / length), F.floor((F.col("offset") + F.col("size") - 1) / length)
