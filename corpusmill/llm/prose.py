@@ -5,9 +5,10 @@ classes: letters of common words, other letters, digits, punctuation and
 symbols.  Its nearest profile by Jensen-Shannon divergence tells whether it is
 running prose of its language, a list, a table, figures, code or bare symbols.
 What the common words of a language are, what prose of it looks like, and which
-words follow each other in it, is learnt from a sample (``fit``); texts of a
-language without enough of a sample are compared without telling common words
-from others.
+words follow each other in it, is learnt from its texts (``fit``, and in parts
+``tally``, ``common_words``, ``known_pairs``, ``text_shares`` and ``profile_of``);
+texts of a language with too few to learn from are compared without telling
+common words from others.
 """
 
 from __future__ import annotations
@@ -40,17 +41,17 @@ MANY_DIGITS, LEAN_PART = 0.14, 0.5
 CONTEXT_CHARS = 60
 #: In a language that could not be learnt a line of fewer characters that no punctuation closes counts as an entry of a list.
 ENTRY_CHARS = 30
-#: A word is common if this share of the sample's texts hold it and its share of the words of entries (short lines that no
+#: A word is common if this share of the language's texts hold it and its share of the words of entries (short lines that no
 #: punctuation closes) is at most this part of its share of those of sentences (long closed lines); at most so many are.
 COMMON_SHARE, ENTRY_PART, MOST_COMMON = 0.05, 0.25, 150
 #: Without so many words in entries the most frequent words are taken, if this share of the texts hold them.
 ENTRY_WORDS, FREQUENT_SHARE = 200, 0.5
-#: A pair of words is known if this share of the sample's texts, and so many of them, hold it.
+#: A pair of words is known if this share of the language's texts, and so many of them, hold it.
 PAIR_SHARE, PAIR_TEXTS = 0.003, 3
-#: Words stand in no order if their share of known pairs is below this part of the sample's median; the median that makes
+#: Words stand in no order if their share of known pairs is below this part of the texts' median; the median that makes
 #: the measure usable, and the pairs a text must have.
 ORDER_PART, ORDER_MEDIAN, ORDER_PAIRS = 0.45, 0.25, 15
-#: Least texts of a sample to learn from.
+#: Least texts of a language to learn from.
 LEAST_TEXTS = 30
 
 
@@ -173,33 +174,15 @@ def _tables(parsed: _Parsed, function: np.ndarray) -> np.ndarray:
     return table
 
 
-def fit(code: str, texts: list[str]) -> Language | None:
-    """What the texts tell of their language, or None if they are too few.
+def tally(texts: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """What is counted over texts of one language: how many have a character, and their words and pairs.
 
-    Prose has the median class shares of all texts with a character, so that a
-    minority of tables and lists does not matter.
+    Words are rows ``(hash, texts that hold it, occurrences in sentences, in
+    entries)``, pairs are rows ``(hash, texts that hold it)``, ascending.
+    Tallies of disjoint texts add up (``summed``).
     """
     parsed = _parse(texts)
-    counts = np.bincount(parsed.bounds.searchsorted(np.flatnonzero(parsed.kinds != SPACE), "right"), minlength=len(texts))
-    used = int((counts > 0).sum())
-    if used < LEAST_TEXTS:
-        return None
     letters = parsed.kinds[parsed.starts] == LETTER
-    common = _common_words(parsed, letters, used)
-    pairs, owner = _pairs(parsed)
-    values, held = _texts_with(pairs, owner)
-    known = values[held >= max(PAIR_TEXTS, PAIR_SHARE * used)]
-    total = np.bincount(owner, minlength=len(texts))
-    share = np.bincount(owner, np.isin(pairs, known), len(texts))[total >= ORDER_PAIRS] / total[total >= ORDER_PAIRS]
-    median = float(np.median(share)) if len(share) else 0.0
-    table = _tables(parsed, np.isin(parsed.hashes, common))
-    per_text = np.stack([np.bincount(np.searchsorted(parsed.bounds, parsed.first, "right"), table[:, k], len(texts)) for k in range(5)], 1)[counts > 0]
-    middle = np.median(per_text / per_text.sum(1, keepdims=True), 0) + 1e-4
-    return Language(code, common, known, tuple((middle / middle.sum()).tolist()), ORDER_PART * median if median >= ORDER_MEDIAN else 0.0)
-
-
-def _common_words(parsed: _Parsed, letters: np.ndarray, used: int) -> np.ndarray:
-    """The words that sentences hold and entries do not, as articles and prepositions: sorted hashes."""
     hashes, line = parsed.hashes[letters], parsed.line[parsed.starts[letters]]
     values, held = _texts_with(hashes, parsed.word_text[letters])
     filled = parsed.kinds != SPACE
@@ -209,15 +192,80 @@ def _common_words(parsed: _Parsed, letters: np.ndarray, used: int) -> np.ndarray
     sentence, entry = (closed & (size >= CONTEXT_CHARS))[line], (~closed & (size < ENTRY_CHARS))[line]
     at = np.searchsorted(values, hashes)
     counts = [np.bincount(at[k], minlength=len(values)) for k in (sentence, entry)]
-    if entry.sum() < ENTRY_WORDS:
+    used = len(np.unique(np.searchsorted(parsed.bounds, np.flatnonzero(filled), "right")))
+    as_rows = lambda *columns: np.stack([c.astype(np.uint64) for c in columns], 1)
+    return used, as_rows(values, held, *counts), as_rows(*_texts_with(*_pairs(parsed)))
+
+
+def summed(rows: np.ndarray) -> np.ndarray:
+    """Rows of a tally with those of the same hash added up, ascending."""
+    if not len(rows):
+        return rows
+    rows = rows[np.argsort(rows[:, 0])]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+    return np.concatenate([rows[first, :1], np.add.reduceat(rows[:, 1:], first, axis=0)], 1)
+
+
+def widespread(words: np.ndarray, used: int) -> np.ndarray:
+    """The words of a tally that enough texts hold to be common."""
+    return words[words[:, 1] >= COMMON_SHARE * used]
+
+
+def known_pairs(pairs: np.ndarray, used: int) -> np.ndarray:
+    """The pairs of a tally that enough texts hold to be known."""
+    return pairs[pairs[:, 1] >= max(PAIR_TEXTS, PAIR_SHARE * used)]
+
+
+def common_words(words: np.ndarray, used: int, sentences: int, entries: int) -> np.ndarray:
+    """The words that sentences hold and entries do not, as articles and prepositions: sorted hashes.
+
+    Of the words of a tally the widespread ones, ascending, are enough;
+    ``sentences`` and ``entries`` are the occurrences of all words in each.
+    """
+    words = widespread(words, used)
+    values, held = words[:, 0], words[:, 1].astype(np.int64)
+    if entries < ENTRY_WORDS:
         fits = held >= FREQUENT_SHARE * used
     else:
-        rates = (counts[0] + 0.5) / (sentence.sum() + 1), (counts[1] + 0.5) / (entry.sum() + 1)
-        fits = (held >= COMMON_SHARE * used) & (rates[1] <= ENTRY_PART * rates[0])
+        fits = (words[:, 3] + 0.5) / (entries + 1) <= ENTRY_PART * ((words[:, 2] + 0.5) / (sentences + 1))
     order = np.argsort(-held, kind="stable")
     return np.sort(values[order[fits[order]][:MOST_COMMON]])
 
 
+def text_shares(texts: list[str], common: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The class shares of each text and its share of known pairs, NaN in texts without a character or with too few pairs."""
+    parsed = _parse(texts)
+    table = _tables(parsed, _among(parsed.hashes, common))
+    owner = np.searchsorted(parsed.bounds, parsed.first, "right")
+    per_text = np.stack([np.bincount(owner, table[:, k], len(texts)) for k in range(5)], 1)
+    pairs, owner = _pairs(parsed)
+    total = np.bincount(owner, minlength=len(texts))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        order = np.where(total >= ORDER_PAIRS, np.bincount(owner, _among(pairs, known), len(texts)) / total, np.nan)
+        return np.concatenate([per_text / per_text.sum(1, keepdims=True), order[:, None]], 1)
+
+
+def profile_of(code: str, common: np.ndarray, known: np.ndarray, medians: list[float | None]) -> Language:
+    """The language whose texts have these medians of their shares, see ``text_shares``."""
+    middle = np.array(medians[:5]) + 1e-4
+    order = medians[5] or 0.0
+    return Language(code, common, known, tuple((middle / middle.sum()).tolist()), ORDER_PART * order if order >= ORDER_MEDIAN else 0.0)
+
+
+def fit(code: str, texts: list[str]) -> Language | None:
+    """What the texts tell of their language, or None if they are too few.
+
+    Prose has the median class shares of all texts with a character, so that a
+    minority of tables and lists does not matter.
+    """
+    used, words, pairs = tally(texts)
+    if used < LEAST_TEXTS:
+        return None
+    common, known = common_words(words, used, *words[:, 2:].sum(0).tolist()), known_pairs(pairs, used)[:, 0]
+    shares = text_shares(texts, common, known).T
+    return profile_of(code, common, known, [float(np.median(s[~np.isnan(s)])) if (~np.isnan(s)).any() else None for s in shares])
+
+
 def measure(texts: list[str | None], editions: list[str | None], model: list[Language]) -> dict[str, np.ndarray]:
     """Statistics of each text.
 

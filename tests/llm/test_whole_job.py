@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from corpusmill.llm import blocks, encodings, garbled, near, overlap, partenum, quality, segments
+from corpusmill.llm import blocks, encodings, garbled, near, overlap, partenum, prose, quality, segments
 from corpusmill.llm.partenum import SLOTS, slot
 
 
@@ -44,6 +44,25 @@ def test_mixed_pages_are_judged_by_characters(spark):
     assert {r["page_id"] for r in quality.not_prose(pages).collect()} == {0, 1}
 
 
+@pytest.mark.parametrize("bucket, flush", [(blocks.BUCKET_RECORDS, blocks.FLUSH_RECORDS), (4000, 2000)])
+def test_languages_are_learnt_from_all_texts(spark, monkeypatch, bucket, flush):
+    monkeypatch.setattr(blocks, "BUCKET_RECORDS", bucket)
+    monkeypatch.setattr(blocks, "FLUSH_RECORDS", flush)
+    r = random.Random(3)
+    vocabulary = ["the", "of", "and", "was"] * 12 + [f"{a}{b}{c}" for a in "bdfg" for b in "aeio" for c in "lmnr"]
+    text = lambda n: " ".join(r.choices(vocabulary, k=n)) + r.choice([".", f" {r.randrange(10**6)}.", "\n1, 2"])
+    texts = {"en": [text(r.randrange(8, 60)) for _ in range(3000)] + ["\n".join(r.choices(vocabulary, k=9)) for _ in range(200)], "de": [text(40) for _ in range(41)], "fr": [text(40) for _ in range(29)]}
+    rows = [(f"{code}wiki", t) for code, some in texts.items() for t in some + some[: len(some) // 2]] + [("simplewiki", t) for t in texts["en"][:900]]
+    rows += [("frwiki", texts["fr"][0]), ("frwiki", "\u200b"), ("frwiki", " \n"), ("frwiki", None), (None, "of the text")]
+    r.shuffle(rows)
+    learnt = quality.learnt_languages(spark.createDataFrame(rows, "wiki string, text string").repartition(5))
+    wanted = [prose.fit(code, sorted(set(texts[code]))) for code in ("de", "en")]
+    assert [m.code for m in learnt] == ["de", "en"] and len(wanted[1].pairs) > 1000
+    for got, want in zip(learnt, wanted):
+        assert got.common.tolist() == want.common.tolist() and got.pairs.tolist() == want.pairs.tolist()
+        assert (got.prose, got.order) == (want.prose, want.order)
+
+
 @pytest.mark.parametrize("size, share", [(60, 0.45), (100, 0.45), (200, 0.45), (400, 0.45), (400, 0.7), (400, 0.2)])
 def test_edits_outside_a_frequent_part_keep_the_pair(size, share):
     r = random.Random(size)
